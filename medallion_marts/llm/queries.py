@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, packing
+from . import bpe, exact_dedup, language_id, packing, quality, toxicity
 from .common import read_table
 
 
@@ -14,6 +14,14 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.assess(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -24,13 +32,20 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_copies(read_table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read_table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
 
 QUERIES = {
+    "op3_toxicity": op3_toxicity,
+    "op4_quality": op4_quality,
     "op7_bpe": op7_bpe,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_language_id": op9_language_id,
     "op10_packing": op10_packing,
 }
 ORACLE_SQL = {"op8_exact_dedup": exact_dedup.ORACLE_SQL}
