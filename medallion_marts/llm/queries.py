@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, language_id, packing, quality, toxicity
+from . import bpe, exact_dedup, language_id, near_dedup, packing, quality, toxicity
 from .common import read_table
 
 
@@ -22,6 +22,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_copies(read_table(spark, sf_dir, "documents"), percent=85)
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -43,9 +47,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_quality": op4_quality,
+    "op5_near_dedup": op5_near_dedup,
     "op7_bpe": op7_bpe,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_language_id": op9_language_id,
     "op10_packing": op10_packing,
 }
-ORACLE_SQL = {"op8_exact_dedup": exact_dedup.ORACLE_SQL}
+ORACLE_SQL = {"op5_near_dedup": near_dedup.ORACLE_SQL, "op8_exact_dedup": exact_dedup.ORACLE_SQL}
