@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, language_id, near_dedup, packing, quality, toxicity
+from . import bpe, exact_dedup, language_id, near_dedup, packing, permutation_index, quality, toxicity
 from .common import read_table
 
 
@@ -14,6 +14,10 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.search(read_table(spark, sf_dir, "embeddings"), every=20, top=20)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.assess(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -45,6 +49,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_nearest_vectors": op2_nearest_vectors,
     "op3_toxicity": op3_toxicity,
     "op4_quality": op4_quality,
     "op5_near_dedup": op5_near_dedup,
