@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, language_id, near_dedup, packing, permutation_index, quality, toxicity
+from . import bpe, context_mixing, exact_dedup, language_id, near_dedup, packing, permutation_index, quality, toxicity
 from .common import read_table
 
 
@@ -14,6 +14,10 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.assess(read_table(spark, sf_dir, "documents"))
+
+
 def op2_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation_index.search(read_table(spark, sf_dir, "embeddings"), every=20, top=20)
 
@@ -49,6 +53,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_score": op1_lm_score,
     "op2_nearest_vectors": op2_nearest_vectors,
     "op3_toxicity": op3_toxicity,
     "op4_quality": op4_quality,
