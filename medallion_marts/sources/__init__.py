@@ -1 +1 @@
-
+"""Reading and writing of tables and events."""
