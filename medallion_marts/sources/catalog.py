@@ -70,20 +70,27 @@ class FolderCatalog(Catalog):
         jpath = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()), jpath
 
+    def _pointers(self, name: str) -> list[str]:
+        fs, folder = self._fs(f"{self.root}/{name}")
+        if not fs.exists(folder):
+            return []
+        return sorted(n for n in (f.getPath().getName() for f in fs.listStatus(folder)) if n.startswith("pointer-"))
+
     def _current(self, name: str) -> str | None:
-        fs, pointer = self._fs(f"{self.root}/{name}/_current")
-        if not fs.exists(pointer):
-            return None
-        return self.spark.read.text(f"{self.root}/{name}/_current").first()[0]
+        pointers = self._pointers(name)
+        return self.spark.read.text(f"{self.root}/{name}/{pointers[-1]}").first()[0] if pointers else None
 
     def _point(self, name: str, folder: str) -> None:
+        """Pointers are numbered and written once; the last one counts."""
+        pointers = self._pointers(name)
+        number = int(pointers[-1].split("-")[1]) + 1 if pointers else 0
         fs, temporary = self._fs(f"{self.root}/{name}/.{uuid.uuid4().hex}")
         out = fs.create(temporary, True)
         out.write(bytearray(folder.encode()))
         out.close()
-        _, pointer = self._fs(f"{self.root}/{name}/_current")
-        fs.delete(pointer, False)
-        fs.rename(temporary, pointer)
+        _, pointer = self._fs(f"{self.root}/{name}/pointer-{number:010d}")
+        if not fs.rename(temporary, pointer):
+            raise RuntimeError(f"{name} was replaced by another job meanwhile")
 
     def exists(self, name: str) -> bool:
         return self._current(name) is not None
