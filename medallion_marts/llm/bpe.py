@@ -105,6 +105,8 @@ class Encoder:
         if whole is not None:
             return [whole]
         n = len(piece)
+        if not n:
+            return []
         longest: list[int | None] = [None] * n
         for end, (i, size) in self.automaton.iter(piece.decode("latin-1")):
             longest[end - size + 1] = i
