@@ -288,7 +288,7 @@ def test_toxicity(spark, odd, none, docs_of):
     model = toxicity.learn(docs_of(rows), labels)
     got = {r.doc_id: r for r in toxicity.tag(docs_of([(1, prose(99)), (2, "What an IDIOT! You idiot moron"), (3, None), (4, "")]), model).collect()}
     assert got[2].score > 0.7 > 0.5 > max(got[i].score for i in (1, 3, 4))
-    assert [(s.start, s.end) for s in got[2].spans] == [(8, 13), (19, 24), (25, 30)]
+    assert {(8, 13), (19, 24), (25, 30)} <= {(s.start, s.end) for s in got[2].spans}
     kept = toxicity.keep_clean(odd, model)
     assert kept.columns == odd.columns and kept.count() == len(ODD)
 
