@@ -31,12 +31,13 @@ from .common import id_remainder, map_batches
 SAMPLE_PER_LABEL = 4000
 #: Features kept, those in most toxic documents first.
 MAX_FEATURES = 5000
-#: A feature is in so many toxic documents at least, and so many times likelier in toxic ones.
-MIN_TOXIC, MIN_RATIO = 4, 12.0
+#: A feature is in so many toxic documents at least and in such a part of them (or a copied
+#: document's own words would do), and so many times likelier in toxic ones.
+MIN_TOXIC, MIN_PART, MIN_RATIO = 4, 0.01, 40.0
 #: Tokens on either side of one with features that go into a training window.
 CONTEXT = 3
 WORD = r"[^\W\d_]+"
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 200_000
 
 
 def features(word: str) -> list[str]:
@@ -187,7 +188,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_per_label: int = SAMPLE_PER
     counted = map_batches(sample, count, "feature string, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where(f"toxic >= {MIN_TOXIC} OR feature = ''")
     n = F.broadcast(counted.where("feature = ''").select(F.col("toxic").alias("n1"), F.col("clean").alias("n0")))
     ratio = (F.col("toxic") / F.col("n1")) / ((F.col("clean") + 0.5) / F.col("n0"))
-    strong = counted.where("feature != ''").join(n).where(ratio >= MIN_RATIO).orderBy(F.desc("toxic"), "feature").limit(MAX_FEATURES)
+    strong = counted.where("feature != ''").join(n).where((ratio >= MIN_RATIO) & (F.col("toxic") >= MIN_PART * F.col("n1"))).orderBy(F.desc("toxic"), "feature").limit(MAX_FEATURES)
     names = [r["feature"] for r in strong.select("feature").collect()]
     number = {f: k for k, f in enumerate(names)}
 
