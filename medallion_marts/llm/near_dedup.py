@@ -10,7 +10,8 @@
    similar ones of each document; then those that would join two components.
 4. Where a region holds more documents than the neighbourhood reaches and they are still in
    several components, those outside its largest one are compared with the whole region,
-   in blocks, by signature, and what agrees is confirmed too. So the reach is no cap.
+   in blocks: by signature, and where that agrees on the full sets. Of the links found in a
+   block only those that join components leave it. So the reach is no cap.
 
 Only components matter to the result: links inside one need not all be confirmed.
 
@@ -37,7 +38,7 @@ PLACES = 128
 TREES, STRIDE, DEPTH = 25, 5, 20
 MIN_DEPTH = 4
 #: Neighbours looked at after each document in each order.
-REACH = 6
+REACH = 3
 #: Most similar candidates of each document that are confirmed first.
 FIRST = 2
 #: Standard deviations below the threshold at which signatures still count as agreeing.
@@ -240,36 +241,91 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return map_batches(joined, make, "a long, b long")
 
 
-def _crowded(forest: DataFrame, nodes: DataFrame, comps: DataFrame, least: float) -> DataFrame:
-    """Agreeing pairs (a, b) of different components in regions beyond the neighbourhood's reach."""
+def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, shingles): the full sets of some documents, as packed hashes."""
+
+    def make():
+        def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(x.as_py()).tobytes() for x in batch.column(1)], pa.binary())], ["id", "shingles"])
+
+        return one
+
+    return map_batches(only_ids(docs, ids, ids.count()).select("id", "text"), make, "id long, shingles binary").dropDuplicates(["id"])
+
+
+def common_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every set of x with every one of y."""
+    nx, ny = np.repeat(np.arange(len(x)), list(map(len, x))), np.repeat(np.arange(len(y)), list(map(len, y)))
+    vx, vy = np.concatenate(x), np.concatenate(y)
+    shared = np.intersect1d(vx, vy)
+    out = np.zeros((len(x), len(y)), np.float32)
+    for start in range(0, len(shared), 4096):  # dense products over some of the shared shingles
+        some = shared[start : start + 4096]
+        dense = []
+        for rows, values, n in ((nx, vx, len(x)), (ny, vy, len(y))):
+            at = np.minimum(np.searchsorted(some, values), len(some) - 1)
+            hit = some[at] == values
+            m = np.zeros((n, len(some)), np.float32)
+            m[rows[hit], at[hit]] = 1
+            dense.append(m)
+        out += dense[0] @ dense[1].T
+    return out
+
+
+def joining_links(ids: np.ndarray, comp: np.ndarray, signatures: np.ndarray, sets: list[np.ndarray], few: np.ndarray, least: float, percent: int) -> list[tuple[int, int]]:
+    """Links of rows marked few with the others that join different components, as few as do."""
+    xs, ys = np.flatnonzero(few), np.flatnonzero(~few)
+    candidate = np.zeros((len(xs), len(ys)), bool)
+    for k, i in enumerate(xs):
+        candidate[k] = ((signatures[ys] == signatures[i]).mean(axis=1) >= least) & (comp[ys] != comp[i])
+    xs, candidate = xs[candidate.any(axis=1)], candidate[candidate.any(axis=1)]
+    ys, candidate = ys[candidate.any(axis=0)], candidate[:, candidate.any(axis=0)]
+    if not candidate.size:
+        return []
+    both = common_counts([sets[i] for i in xs], [sets[i] for i in ys])
+    size = np.array(list(map(len, sets)))
+    linked = candidate & (100 * both >= percent * (size[xs][:, None] + size[ys][None, :] - both))
+    parent: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while parent.get(c, c) != c:
+            c = parent[c]
+        return c
+
+    out = []
+    for k, j in np.argwhere(linked):
+        a, b = root(int(comp[xs[k]])), root(int(comp[ys[j]]))
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+            out.append((int(ids[xs[k]]), int(ids[ys[j]])))
+    return out
+
+
+def _crowded(forest: DataFrame, nodes: DataFrame, comps: DataFrame, docs: DataFrame, least: float, percent: int) -> DataFrame:
+    """Confirmed links (a, b) between components in regions beyond the neighbourhood's reach."""
     placed = forest.select("tree", F.substring("label", 1, MIN_DEPTH).alias("prefix"), "id").join(comps.select(F.col("node").alias("id"), "component"), "id", "left")
     placed = placed.withColumn("component", F.coalesce("component", "id"))
     parts = placed.groupBy("tree", "prefix", "component").agg(F.count("*").alias("n"))
     regions = parts.groupBy("tree", "prefix").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("component", "n").alias("main"))
     regions = regions.where(f"n > {REACH + 1} AND n > most")
-    rows = placed.join(regions, ["tree", "prefix"])
+    rows = staged(placed.join(regions, ["tree", "prefix"]), "crowded")
+    sets = staged(_sets_of(docs, staged(rows.select("id").distinct(), "ids")), "sets")
     side = lambda n: F.ceil(n / CELL).cast("int")
     n_all, n_few = side(F.col("n")), side(F.col("n") - F.col("most"))
     hashed = F.xxhash64("id")
     # A row of the region is in one block of all; one outside the main component also in one block of the few.
     everyone = rows.select("tree", "prefix", "id", "component", F.lit(False).alias("few"), F.pmod(hashed, n_all).cast("int").alias("x"), F.explode(F.sequence(F.lit(0), n_few - 1)).alias("y"))
     others = rows.where("component != main").select("tree", "prefix", "id", "component", F.lit(True).alias("few"), F.explode(F.sequence(F.lit(0), n_all - 1)).alias("x"), F.pmod(hashed, n_few).cast("int").alias("y"))
-    cells = everyone.unionByName(others).join(nodes.select("id", "signature"), "id")
+    cells = everyone.unionByName(others).join(nodes.join(sets, "id"), "id")
 
     def compare(table: pa.Table) -> pa.Table:
-        few = table.column("few").to_numpy(zero_copy_only=False)
-        ids, comp = table.column("id").to_numpy(), table.column("component").to_numpy()
-        sig = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(-1, PLACES)
-        all_ids, all_comp, all_sig = ids[~few], comp[~few], sig[~few]
-        a, b, agree = [], [], []
-        for i in np.flatnonzero(few):
-            share = (all_sig == sig[i]).mean(axis=1)
-            hit = np.flatnonzero((share >= least) & (all_comp != comp[i]))
-            a.append(np.minimum(all_ids[hit], ids[i])), b.append(np.maximum(all_ids[hit], ids[i])), agree.append(share[hit])
-        join = lambda x, kind: pa.array(np.concatenate(x) if x else np.zeros(0), kind)
-        return pa.table([join(a, pa.int64()), join(b, pa.int64()), join(agree, pa.float64())], names=["a", "b", "agree"])
+        signatures = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(-1, PLACES)
+        full = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+        few = table.column("few").to_numpy(zero_copy_only=False).astype(bool)
+        links = joining_links(table.column("id").to_numpy(), table.column("component").to_numpy(), signatures, full, few, least, percent)
+        return pa.table([pa.array([min(x) for x in links], pa.int64()), pa.array([max(x) for x in links], pa.int64())], names=["a", "b"])
 
-    return cells.groupBy("tree", "prefix", "x", "y").applyInArrow(compare, "a long, b long, agree double").dropDuplicates(["a", "b"])
+    return cells.groupBy("tree", "prefix", "x", "y").applyInArrow(compare, "a long, b long").distinct()
 
 
 def near_copies(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -299,15 +355,11 @@ def near_copies(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text
 
     second = staged(between(pairs).join(first, ["a", "b"], "left_anti"), "second")
     if not second.isEmpty():
-        tried = first.unionByName(second)
         links = links.unionByName(staged(_confirmed(second, rows, percent), "links"))
         comps = staged(components(links), "components")
-    else:
-        tried = first
-    third = staged(_crowded(forest, nodes, comps, least).select("a", "b").join(tried, ["a", "b"], "left_anti"), "third")
+    third = staged(_crowded(forest, nodes, comps, rows, least, percent), "links")
     if not third.isEmpty():
-        links = links.unionByName(staged(_confirmed(third, rows, percent), "links"))
-        comps = staged(components(links), "components")
+        comps = staged(components(links.unionByName(third)), "components")
 
     of_set = sets.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
     out = drawn.select("id", "n_shingles", "digest").join(of_set, "digest", "left")
