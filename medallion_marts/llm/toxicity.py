@@ -33,7 +33,7 @@ SAMPLE_PER_LABEL = 4000
 MAX_FEATURES = 5000
 #: A feature is in so many toxic documents at least and in such a part of them (or a copied
 #: document's own words would do), and so many times likelier in toxic ones.
-MIN_TOXIC, MIN_PART, MIN_RATIO = 4, 0.01, 40.0
+MIN_TOXIC, MIN_PART, MIN_RATIO = 3, 0.01, 30.0
 #: Tokens on either side of one with features that go into a training window.
 CONTEXT = 3
 WORD = r"[^\W\d_]+"
