@@ -148,8 +148,9 @@ def test_op10(spark, small, documents):
     assert check_packing(QUERIES["op10_packing"](spark, small).collect(), ids) == 0
 
 
-def test_pipeline(spark, small, documents):
+def test_pipeline(spark, small):
     """Each stage on its own input: what it must drop, and that the columns stay."""
+    small = small.replace("sf0.001", "sf0.01")  # the smallest tables hold too few toxic documents to learn from
     import corpus_pipeline
 
     from medallion_marts.llm import near_dedup
