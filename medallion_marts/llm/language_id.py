@@ -28,6 +28,8 @@ SAMPLE_PER_LANGUAGE = 1500
 #: Languages learned, the most frequent first, and contexts kept, likewise: they bound the model.
 MAX_LANGUAGES = 200
 MAX_CONTEXTS = 20_000
+#: Code lengths in the model at most, over contexts, codes and languages: with more languages, fewer contexts.
+MAX_CELLS = 1 << 24
 #: Codes for byte values; the rest share code 0, which costs 8 bits at order -1 like any other.
 MAX_CODES = 120
 UNDETERMINED = "und"
@@ -64,6 +66,7 @@ def build(grams: np.ndarray, language: np.ndarray, counts: np.ndarray, languages
     code = np.zeros(256, np.int32)
     code[kept] = np.arange(1, len(kept) + 1)
     s, n_lang = len(kept) + 1, len(languages)
+    max_contexts = min(max_contexts, MAX_CELLS // (s * n_lang))
     coded = code[grams]
     contexts: list[tuple[int, np.ndarray]] = []  # (order, context numbers), shortest first
     for order in range(ORDER + 1):
@@ -72,37 +75,41 @@ def build(grams: np.ndarray, language: np.ndarray, counts: np.ndarray, languages
             number = number * s + coded[:, k]
         contexts.append((order, number))
     row = np.zeros(s**ORDER, np.int32)
-    tables = []
-    offset = 0
-    below = None
+    found: list[np.ndarray] = []  # the known contexts of each order
     for order, number in contexts:
         weight = np.bincount(number, weights=counts, minlength=s**order)
         known = np.flatnonzero(weight)
-        if order == ORDER and offset + len(known) > max_contexts:
-            known = np.sort(known[np.argsort(-weight[known], kind="stable")[: max(0, max_contexts - offset)]])
-        index = np.full(s**order, -1, np.int64)
-        index[known] = np.arange(len(known))
+        room = max_contexts - sum(map(len, found))
+        if order:  # a context is kept only if the shorter one is
+            known = known[np.isin(known % (s ** (order - 1)), found[-1])]
+        if order > 1 and len(known) > room:
+            known = np.sort(known[np.argsort(-weight[known], kind="stable")[: max(0, room)]])
+        found.append(known)
+    p = np.empty((sum(map(len, found)), s, n_lang), np.float32)
+    offset, shorter_row = 0, None
+    for (order, number), known in zip(contexts, found):
+        index = np.full(s**order, -1, np.int32)
+        index[known] = offset + np.arange(len(known), dtype=np.int32)
         of = index[number]
-        has = of >= 0
-        seen = np.zeros((len(known) * s, n_lang), np.float64)
-        np.add.at(seen, (of[has] * s + coded[has, -1], language[has]), counts[has])
-        seen = seen.reshape(len(known), s, n_lang)
-        if below is None:
-            lower = np.full((len(known), s, n_lang), 1 / 256)
-        else:
-            shorter = known % (s ** (order - 1))  # without its oldest byte
-            lower = below[0][below[1][shorter]]
-        total, distinct = seen.sum(axis=1, keepdims=True), (seen > 0).sum(axis=1, keepdims=True)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            p = np.where(seen > 0, seen, distinct * lower) / (total + distinct)
-        p = np.where(total > 0, p, lower)
-        below = (p, index)
-        tables.append(p)
-        spread = row.reshape(-1, s**order)
-        spread[:, known] = offset + np.arange(len(known), dtype=np.int32)
+        by_row = np.argsort(of, kind="stable")
+        sorted_rows = of[by_row]
+        for start in range(0, len(known), 1024):  # a part at a time, to bound the driver's memory
+            some = known[start : start + 1024]
+            first = offset + start
+            some_grams = by_row[np.searchsorted(sorted_rows, first) : np.searchsorted(sorted_rows, first + len(some))]
+            seen = np.zeros((len(some), s, n_lang), np.float32)
+            np.add.at(seen, (of[some_grams] - first, coded[some_grams, -1], language[some_grams]), counts[some_grams])
+            lower = p[shorter_row[some % (s ** (order - 1))]] if order else np.float32(1 / 256)
+            total, distinct = seen.sum(axis=1, keepdims=True), (seen > 0).sum(axis=1, keepdims=True)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                escaped = np.where(seen > 0, seen, distinct * lower) / (total + distinct)
+            p[first : first + len(some)] = np.where(total > 0, escaped, lower)
+        shorter_row = index
+        row.reshape(-1, s**order)[:, known] = index[known]
         offset += len(known)
-    cost = -np.log2(np.concatenate(tables)).astype(np.float32)
-    return Model(languages, code, s, row, cost.reshape(-1, n_lang))
+    np.log2(p, out=p)
+    np.negative(p, out=p)
+    return Model(languages, code, s, row, p.reshape(-1, n_lang))
 
 
 def learn(docs: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
@@ -112,11 +119,13 @@ def learn(docs: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE, id_co
     if not sizes:
         return None
     share = F.create_map(*[F.lit(x) for r in sizes for x in (r["_lang"], min(1.0, sample_per_language / r["count"]))])
+    langs = sorted(r["_lang"] for r in sizes)
+    number = F.create_map(*[F.lit(x) for k, lang in enumerate(langs) for x in (lang, k)])
     chosen = labelled.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) < F.coalesce(share[F.col("_lang")], F.lit(0.0)) * (1 << 20))
 
     def make():
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-            by_lang: dict[str, list[np.ndarray]] = {}
+            by_lang: dict[int, list[np.ndarray]] = {}
             for text, lang in zip(batch.column(0), batch.column(1).to_pylist()):
                 b = np.frombuffer(b"\0" * ORDER + text.as_py().encode("utf-8"), np.uint8).astype(np.uint32)
                 key = b[:-ORDER].copy()
@@ -129,22 +138,18 @@ def learn(docs: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE, id_co
                 langs += [lang] * len(key)
                 keys.append(key.astype(np.int64))
                 counts.append(n)
-            return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(np.concatenate(keys)), pa.array(np.concatenate(counts).astype(np.int64))], ["lang", "gram", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(langs, pa.int32()), pa.array(np.concatenate(keys)), pa.array(np.concatenate(counts).astype(np.int64))], ["lang", "gram", "n"])
 
         return one
 
-    counted = map_batches(chosen.select("_text", "_lang"), make, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = map_batches(chosen.select("_text", number[F.col("_lang")].alias("_lang")), make, "lang int, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     found = counted.toArrow()
     if not found.num_rows:
         return None
-    langs = sorted(set(found.column("lang").unique().to_pylist()))
-    number = {x: k for k, x in enumerate(langs)}
-    gram = found.column("gram").to_numpy()
-    encoded = found.column("lang").combine_chunks().dictionary_encode()
-    language = np.array([number[x] for x in encoded.dictionary.to_pylist()])[encoded.indices.to_numpy()]
-    grams = np.stack([(gram >> (8 * (ORDER - k))) & 255 for k in range(ORDER + 1)], axis=1)
+    language, gram, n = (found.column(c).to_numpy() for c in ("lang", "gram", "n"))
     order = np.lexsort((gram, language))
-    return build(grams[order], language[order], found.column("n").to_numpy()[order].astype(np.float64), langs)
+    grams = np.stack([((gram[order] >> (8 * (ORDER - k))) & 255).astype(np.uint8) for k in range(ORDER + 1)], axis=1)
+    return build(grams, language[order], n[order].astype(np.float64), langs)
 
 
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
