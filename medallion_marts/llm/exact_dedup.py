@@ -25,6 +25,8 @@ POSITIONS_PER_ROW = 16
 #: The filter is broadcast up to this size and joined by bitmap number beyond it.
 BROADCAST_FILTER_BYTES = 32 << 20
 BITMAP_BYTES = 4096
+#: Groups of a thousandth of all rows or more (and of so many rows at least) are large: there are at most a thousand.
+LARGE_GROUPS, LARGE_AT_LEAST = 1000, 20
 
 
 def _digest(text: str) -> Column:
@@ -71,12 +73,17 @@ def _filter_size(rows: int) -> int:
 def find_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, keep_id, group_size, kept, text_sha256) for every row; of equal texts the largest id stays."""
     digests = staged(docs.select(F.col(id_col).alias("_id"), _digest(text_col).alias("_digest")), "digests")
-    size = _filter_size(digests.count())
+    n_rows = digests.count()
+    size = _filter_size(n_rows)
     bitmaps, n_bitmaps = _repeated_positions(digests, size)
     flagged = _flag(digests, bitmaps, n_bitmaps, size)
     maybe = flagged.where("_maybe").select("_id", "_digest")
-    groups = maybe.groupBy("_digest").agg(F.max("_id").alias("keep_id"), F.count("*").alias("group_size"))
-    grouped = maybe.join(groups, "_digest").select("_id", "keep_id", "group_size", "_digest")
+    groups = staged(maybe.groupBy("_digest").agg(F.max("_id").alias("keep_id"), F.count("*").alias("group_size")), "groups")
+    # Large groups are few, so they are broadcast; a join by digest would put each into one task.
+    large = F.col("group_size") >= max(LARGE_AT_LEAST, n_rows // LARGE_GROUPS)
+    at_once = maybe.join(F.broadcast(groups.where(large)), "_digest", "left")
+    rest = at_once.where("group_size IS NULL").select("_id", "_digest").join(groups.where(~large), "_digest")
+    grouped = at_once.where("group_size IS NOT NULL").unionByName(rest).select("_id", "keep_id", "group_size", "_digest")
     single = flagged.where(~F.col("_maybe")).select("_id", F.col("_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "_digest")
     return single.unionByName(grouped).select(
         F.col("_id").alias(id_col),
