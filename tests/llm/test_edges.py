@@ -376,9 +376,8 @@ def test_probabilities_sum_to_one():
     def first_bits(data, n):
         """Bits of the first n bytes alone."""
         g = context_mixing.lay_out([(data, True)], coding)
-        x, gate, positive, first = context_mixing.inputs(g, m)
-        dot = (m.weights.astype(np.float32) @ x)[gate, np.arange(len(gate))]
-        signed = np.clip(np.where(positive, dot, -dot), -16, 16)
+        x, gate, first = context_mixing.inputs(g, m)
+        signed = np.clip((m.weights.astype(np.float32) @ x)[gate, np.arange(len(gate))], -16, 16)
         return np.log2(1 + np.exp(-signed.astype(float)))[: first[n]].sum() + 8 * (g.symbol[:n] == 1).sum()
 
     start = texts[0][:40]
