@@ -45,8 +45,39 @@ def id_remainder(doc_id: Column, modulus: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % modulus, F.lit(-1))
 
 
-def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema: str) -> DataFrame:
-    """mapInArrow with a function made once per task; it maps a batch to a batch, or to None."""
+#: Rows of an Arrow batch, where the session has Spark's default: texts are long, and either side of
+#: a Python worker holds a batch or two.
+BATCH_ROWS, DEFAULT_ROWS = 1000, "10000"
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """mapInArrow over small batches, whose memory goes back to the system when a task ends."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(key) == DEFAULT_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return df.mapInArrow(tidied, schema)
+
+
+def give_back() -> None:
+    """Hands freed memory back to the system, which C libraries otherwise keep."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps its memory
+        pass
+
+
+def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema) -> DataFrame:
+    """map_arrow with a function made once per task; it maps a batch to a batch, or to None."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = None
@@ -56,7 +87,7 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
             if batch.num_rows and (out := one(batch)) is not None:
                 yield out
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def quiet_threads() -> None:

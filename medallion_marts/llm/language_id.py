@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_remainder, map_batches
+from .common import give_back, id_remainder, map_batches
 
 ORDER = 3
 #: About so many documents of each language are learned from, chosen by a hash of their id.
@@ -149,7 +149,10 @@ def learn(docs: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE, id_co
     language, gram, n = (found.column(c).to_numpy() for c in ("lang", "gram", "n"))
     order = np.lexsort((gram, language))
     grams = np.stack([((gram[order] >> (8 * (ORDER - k))) & 255).astype(np.uint8) for k in range(ORDER + 1)], axis=1)
-    return build(grams, language[order], n[order].astype(np.float64), langs)
+    model = build(grams, language[order], n[order].astype(np.float64), langs)
+    del found, language, gram, n, grams
+    give_back()
+    return model
 
 
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, staged
+from .common import map_arrow, map_batches, staged
 from .graph import components
 
 SHINGLE = 5
@@ -182,7 +182,7 @@ def _neighbours(forest: DataFrame) -> DataFrame:
 
     parts = max(forest.sparkSession.sparkContext.defaultParallelism, int(forest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ordered = forest.repartitionByRange(parts, "tree", "label", "id").sortWithinPartitions("tree", "label", "id")
-    return ordered.mapInArrow(run, "a long, b long").distinct()
+    return map_arrow(ordered, run, "a long, b long").distinct()
 
 
 def _agreeing(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
@@ -368,7 +368,7 @@ def near_copies(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text
 
 
 def drop_near_copies(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The rows of docs, with docs' own columns, that are the first of their component."""
+    """The rows of docs, with docs' own columns, that are the first of their component, and those without an id."""
     gone = staged(near_copies(docs, percent).where("NOT kept").select(F.col("doc_id").alias("id")).distinct(), "gone")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     return only_ids(docs.select(row, F.col("doc_id").cast("long").alias("id")), gone, gone.count(), "left_anti").select("_row.*")

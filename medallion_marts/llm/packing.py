@@ -25,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import quiet_threads
+from .common import map_arrow, quiet_threads
 
 WINDOW = 1024
 END_ID = 0
 #: Windows that a task holds open at most.
 MAX_OPEN = 512
 #: Pieces of text whose ids a worker remembers.
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 300_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -199,4 +199,4 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, max_open: int = MAX_O
         if packer.rows:
             yield packer.batch()
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, SCHEMA)
+    return map_arrow(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")), run, SCHEMA)

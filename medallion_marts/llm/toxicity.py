@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_remainder, map_batches
+from .common import give_back, id_remainder, map_batches
 
 #: About so many documents of each label are learned from, chosen by a hash of their id.
 SAMPLE_PER_LABEL = 4000
@@ -210,7 +210,10 @@ def learn(docs: DataFrame, labels: DataFrame, sample_per_label: int = SAMPLE_PER
 
     rows = map_batches(sample, compress, "at array<int>, found array<array<int>>, length int, toxic int").toArrow().to_pylist()
     rows.sort(key=lambda r: (r["toxic"], r["length"], r["at"], r["found"]))
-    return fit(names, rows)
+    model = fit(names, rows)
+    del rows
+    give_back()
+    return model
 
 
 def fit(names: list[str], rows: list[dict]) -> Model:
