@@ -32,7 +32,7 @@ END_ID = 0
 #: Windows that a task holds open at most.
 MAX_OPEN = 512
 #: Pieces of text whose ids a worker remembers.
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 500_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
