@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, context_mixing, exact_dedup, language_id, near_dedup, packing, permutation_index, quality, toxicity
+from . import bpe, context_mixing, exact_dedup, language_id, licence_scan, near_dedup, packing, permutation_index, quality, toxicity
 from .common import read_table
 
 
@@ -34,6 +34,10 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_copies(read_table(spark, sf_dir, "documents"), percent=85)
 
 
+def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -58,6 +62,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_quality": op4_quality,
     "op5_near_dedup": op5_near_dedup,
+    "op6_licence_scan": op6_licence_scan,
     "op7_bpe": op7_bpe,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_language_id": op9_language_id,
