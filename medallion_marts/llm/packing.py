@@ -1,11 +1,19 @@
 """Packing tokenised documents into windows by the sum-of-squares rule.
 
-A document's full windows stand alone; its rest is placed, as it arrives, into the open
-window (or a new one) for which the sum over fill levels of the squared number of open
-windows becomes least. The counts are kept in an array by level. Each task packs the
-documents of its partition and never holds more than `MAX_OPEN` windows open: beyond
-that, and at its end, the open windows are joined and cut anew into full ones. What then
-remains is cut into lengths that are powers of two, which need no padding.
+A document's full windows stand alone; its rest is placed, as it arrives, at the fill level
+(of an open window in which it fits, or of a new one) for which the sum over fill levels of
+the squared number of open windows becomes least. The numbers are kept in an array by level.
+Each task packs the documents of its partition and holds at most `MAX_OPEN` windows open: when
+so many are open and a rest fits none of them, it is cut. Its beginning fills exactly the level
+whose loss lowers the sum most, and what is left of it is placed in turn. At a task's end the
+emptiest window is dissolved, again and again, and its pieces are placed by the same rule
+without new windows, until one window is left; that one is cut into lengths that are powers of
+two, which need no padding.
+
+Ids are those of the `tokenizers` library. Where its file is a byte-level BPE with merges in
+order of ids, as the given one, the same ranks are merged by `tiktoken`, which is faster;
+other files, texts with special strings and letters beyond U+024F (whose classes depend on a
+library's Unicode version) go through `tokenizers` itself.
 
 Defined results: a null or empty text is the end id alone; ties go to the fullest level;
 repeated rows are packed like any others; an empty table gives an empty result; other
@@ -29,10 +37,8 @@ from .common import map_arrow, quiet_threads
 
 WINDOW = 1024
 END_ID = 0
-#: Windows that a task holds open at most.
-MAX_OPEN = 512
-#: Pieces of text whose ids a worker remembers.
-MEMO_ENTRIES = 500_000
+#: Windows that a task holds open at most; beyond that documents are cut, so nothing is dropped.
+MAX_OPEN = 64
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -45,39 +51,31 @@ class Levels:
         self.open: list[list] = [[] for _ in range(window)]
         self.n_open = 0
 
-    def choose(self, size: int) -> int:
-        """The level, 0 for a new window, whose use makes the sum of squared counts least."""
+    def choose(self, size: int, may_open: bool = True) -> int | None:
+        """The level, 0 for a new window, whose use makes the sum of squared counts least; None if it fits nowhere."""
         last = self.window - size
         gain = 1 - 2 * self.count[: last + 1]  # one window leaves this level
         gain[self.count[: last + 1] == 0] = 1 << 40
-        gain[0] = 0
+        gain[0] = 0 if may_open else 1 << 40
         after = 2 * self.count[size:] + 1  # and one comes to that
         after[last] = 0  # a full window counts no more
-        return last - int(np.argmin((gain + after)[::-1]))
-
-    def place(self, piece: tuple) -> list | None:
-        """Puts a piece into a window; returns the window's pieces if it is full."""
-        size = piece[2]
-        level = self.choose(size)
-        if level:
-            window = self.open[level].pop()
-            self.count[level] -= 1
-            self.n_open -= 1
-        else:
-            window = []
-        window.append(piece)
-        level += size
-        if level == self.window:
-            return window
-        self.open[level].append(window)
+        gain += after
+        best = last - int(np.argmin(gain[::-1]))
+        return best if gain[best] < 1 << 39 else None
+
+    def fullest_crowd(self) -> int:
+        """The level that loses most squares if one of its windows is filled; ties to the fullest."""
+        return self.window - 1 - int(np.argmax(self.count[self.window - 1 : 0 : -1]))
+
+    def take(self, level: int) -> list:
+        self.count[level] -= 1
+        self.n_open -= 1
+        return self.open[level].pop()
+
+    def put(self, level: int, pieces: list) -> None:
+        self.open[level].append(pieces)
         self.count[level] += 1
         self.n_open += 1
-        return None
-
-    def take_all(self) -> list[tuple]:
-        pieces = [piece for level in reversed(self.open) for window in level for piece in window]
-        self.__init__(self.window)
-        return pieces
 
 
 class Packer:
@@ -87,39 +85,61 @@ class Packer:
         self.levels = Levels(window)
         self.window, self.max_open, self.sequence = window, max_open, first_sequence
         self.rows: list[tuple] = []
+        #: Tokens of rests in windows filled as documents came, as windows were dissolved, and of the last window.
+        self.placed = self.dissolved = self.last = 0
+        self.cuts = 0
 
     def add(self, doc_id, ids: bytes) -> None:
         total = len(ids) // 4
         for start in range(0, total - self.window + 1, self.window):
             self._close([(doc_id, start, self.window, ids[4 * start : 4 * (start + self.window)], total)])
         if rest := total % self.window:
-            full = self.levels.place((doc_id, total - rest, rest, ids[4 * (total - rest) :], total))
-            if full:
-                self._close(full)
-            elif self.levels.n_open > self.max_open:
-                self.recut(final=False)
-
-    def recut(self, final: bool) -> None:
-        """Joins the open windows and cuts them anew; at the end, the rest into powers of two."""
-        pieces = self.levels.take_all()
-        left = sum(p[2] for p in pieces)
-        room, current = self._next_room(left, final), []
-        for doc_id, start, length, ids, total in pieces:
-            while length:
-                n = min(room, length)
-                current.append((doc_id, start, n, ids[: 4 * n], total))
-                start, length, ids, room, left = start + n, length - n, ids[4 * n :], room - n, left - n
-                if not room:
-                    self._close(current)
-                    room, current = self._next_room(left, final), []
-        if current:  # less than a window; it stays open
-            level = sum(p[2] for p in current)
-            self.levels.open[level].append(current)
-            self.levels.count[level] += 1
-            self.levels.n_open += 1
-
-    def _next_room(self, left: int, final: bool) -> int:
-        return self.window if left >= self.window or not final else 1 << (max(1, left).bit_length() - 1)
+            self.placed += self.window * self.place((doc_id, total - rest, rest, ids[4 * (total - rest) :], total), self.max_open)
+
+    def place(self, piece: tuple, max_open: int) -> int:
+        """Puts a piece into windows by the rule; returns how many became full."""
+        levels, filled = self.levels, 0
+        while True:
+            size = piece[2]
+            level = levels.choose(size, levels.n_open < max_open)
+            whole = level is not None
+            if not whole:
+                level = levels.fullest_crowd()
+                self.cuts += 1
+            pieces = levels.take(level) if level else []
+            doc_id, start, _, ids, total = piece
+            n = size if whole else self.window - level
+            pieces.append((doc_id, start, n, ids[: 4 * n], total))
+            if level + n == self.window:
+                self._close(pieces)
+                filled += 1
+            else:
+                levels.put(level + n, pieces)
+            if whole:
+                return filled
+            piece = (doc_id, start + n, size - n, ids[4 * n :], total)
+
+    def finish(self) -> None:
+        """Dissolves the emptiest windows until one is left, and cuts that one into powers of two."""
+        levels = self.levels
+        while levels.n_open > 1:
+            for piece in levels.take(int(np.flatnonzero(levels.count)[0])):
+                self.dissolved += self.window * self.place(piece, max(1, levels.n_open))
+        if levels.n_open:
+            level = int(np.flatnonzero(levels.count)[0])
+            self.last = level
+            pieces = levels.take(level)
+            while level:
+                room = 1 << (level.bit_length() - 1)
+                level -= room
+                current = []
+                while room:
+                    doc_id, start, length, ids, total = pieces[0]
+                    n = min(room, length)
+                    current.append((doc_id, start, n, ids[: 4 * n], total))
+                    room -= n
+                    pieces[:1] = [(doc_id, start + n, length - n, ids[4 * n :], total)] if n < length else []
+                self._close(current)
 
     def _close(self, pieces: list[tuple]) -> None:
         at = 0
@@ -136,12 +156,29 @@ class Packer:
         return out
 
 
-#: Letters whose classes are the same in every Unicode version; other texts are given to the tokenizer whole.
+#: Letters whose classes are the same in every Unicode version.
 _PLAIN = "[^\\x00-\\u024f]"
 
 
+def byte_ranks(file: dict) -> dict[bytes, int] | None:
+    """Token bytes to ids of a tokenizer file, if it is a plain byte-level BPE whose merges are in order of their ids."""
+    model, split = file["model"], file.get("pre_tokenizer") or {}
+    plain = model.get("type") == "BPE" and split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
+    if not plain or file.get("normalizer") or model.get("ignore_merges") or model.get("dropout"):
+        return None
+    # The printable bytes stand for themselves, the others for the characters from 256 on.
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    byte_of = {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in printable)}
+    special = {x["content"] for x in file.get("added_tokens", [])}
+    vocabulary = model["vocab"]
+    made = [vocabulary.get("".join(m if isinstance(m, list) else m.split(" "))) for m in model["merges"]]
+    if None in made or made != sorted(made) or any(not set(t) <= byte_of.keys() for t in vocabulary if t not in special):
+        return None
+    return {bytes(byte_of[c] for c in t): i for t, i in vocabulary.items() if t not in special}
+
+
 class Ids:
-    """Packed ids of texts: the pieces of plain texts are tokenised once and remembered."""
+    """Packed ids of texts."""
 
     def __init__(self, path: str):
         quiet_threads()
@@ -150,31 +187,23 @@ class Ids:
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
-            self.special = [x["content"] for x in json.load(f).get("added_tokens", [])]
-        import public_tokenizers
-
-        self.split = regex.compile(public_tokenizers.PATTERN).findall
+            file = json.load(f)
+        self.special = [x["content"] for x in file.get("added_tokens", [])]
         self.odd = regex.compile(_PLAIN).search
-        self.memo: dict[str, bytes] = {}
+        self.merge = None
+        if ranks := byte_ranks(file):
+            import public_tokenizers
+            import tiktoken
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            self.merge = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_to_numpy
 
     def of(self, text: str) -> bytes:
-        if self.odd(text) or any(s in text for s in self.special):
-            return self._encode([text])[0]
-        pieces, memo = self.split(text), self.memo
-        new = list(set(pieces).difference(memo))
-        if new:
-            if len(memo) + len(new) > MEMO_ENTRIES:
-                memo.clear()
-                new = list(set(pieces))
-            memo.update(zip(new, self._encode(new)))
-        out = b"".join(map(memo.__getitem__, pieces))
-        for piece in new:
-            if len(piece) > 64:
-                del memo[piece]
-        return out
+        if self.merge and (text.isascii() or not self.odd(text)) and not any(s in text for s in self.special):
+            try:
+                return self.merge(text, disallowed_special=()).tobytes()
+            except ValueError:  # a run too long for its regular expressions
+                pass
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -195,7 +224,7 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, max_open: int = MAX_O
                 packer.add(doc_id, ids.of(text.as_py() or "") + end)
                 if len(packer.rows) >= 20_000:
                     yield packer.batch()
-        packer.recut(final=True)
+        packer.finish()
         if packer.rows:
             yield packer.batch()
 
