@@ -390,33 +390,38 @@ def test_context_mixing(odd, none):
 
 def test_probabilities_sum_to_one():
     """Over all next bytes and the end, after any beginning."""
+    from test_context_mixing import bit_by_bit, model_of
+
     texts = [prose(k, 50).encode() for k in range(12)]
-    coding = context_mixing.make_coding(texts)
-    counts = context_mixing.Counts(coding)
-    counts.add(texts)
-    m = context_mixing.Model(coding, context_mixing.log_odds(list(counts.rows())), context_mixing.initial_weights())
-    m.weights = context_mixing.learn_weights(m, texts)
+    m = model_of(texts)
+    start = texts[0][:40]
+    assert context_mixing.all_bits([start], m)[0] == pytest.approx(bit_by_bit(start, m), rel=1e-4)
 
     def first_bits(data, n):
         """Bits of the first n bytes alone."""
-        g = context_mixing.lay_out([(data, True)], coding)
-        x, gate, first = context_mixing.inputs(g, m)
-        signed = np.clip((m.weights.astype(np.float32) @ x)[gate, np.arange(len(gate))], -16, 16)
-        return np.log2(1 + np.exp(-signed.astype(float)))[: first[n]].sum() + 8 * (g.symbol[:n] == 1).sum()
+        laid = context_mixing.lay_out([(data, False)])
+        i = context_mixing.inputs(laid, m)
+        signed = np.clip((m.weights[:, i.gate] * i.x).sum(axis=0), -16, 16)
+        return np.log2(1 + np.exp(-signed.astype(float)))[: i.first[n]].sum() + 8 * i.escapes[:n].sum()
+
+    def end_bits():
+        laid = context_mixing.lay_out([(start, True)])
+        i = context_mixing.inputs(laid, m)
+        signed = np.clip((m.weights[:, i.gate] * i.x).sum(axis=0), -16, 16)
+        return np.log2(1 + np.exp(-signed.astype(float)))[i.first[40] :].sum()
 
-    start = texts[0][:40]
     before = first_bits(start + b"q", 40)
-    total = sum(2 ** -(first_bits(start + bytes([b]), 41) - before) for b in range(256))
-    total += 2 ** -(context_mixing.all_bits([start], m)[0] - before)
+    total = sum(2 ** -(first_bits(start + bytes([b]), 41) - before) for b in range(256)) + 2 ** -end_bits()
     # Bytes with a symbol of their own leave their share of the escape unused.
     escape = 2 ** -(first_bits(start + b"\x01", 41) - before)
-    assert total + escape * (coding.n - 2) == pytest.approx(1, rel=1e-3)
+    assert total + escape * (m.coding.n - 2) == pytest.approx(1, rel=1e-3)
 
 
 def test_long_text_is_scored_in_pieces(monkeypatch):
+    from test_context_mixing import model_of
+
     texts = [prose(k, 50).encode() for k in range(6)]
-    coding = context_mixing.make_coding(texts)
-    m = context_mixing.Model(coding, [np.zeros(1 << b, np.int8) for b in context_mixing.SLOT_BITS], context_mixing.initial_weights())
+    m = model_of(texts)
     whole = context_mixing.all_bits([texts[0] * 20, b"", texts[1]], m)
     monkeypatch.setattr(context_mixing, "GROUP", 10)
     assert context_mixing.all_bits([texts[0] * 20, b"", texts[1]], m) == pytest.approx(whole)
