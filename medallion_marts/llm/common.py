@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -17,10 +17,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one only where none is configured (tests)."""
+    """The folder all executors share; a temporary one of the driver only where none is configured and all runs in one process."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not hasattr(spark, "_own_shared_dir"):
         spark._own_shared_dir = tempfile.mkdtemp(prefix="spark-shared-")
     return spark._own_shared_dir
@@ -32,12 +34,28 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     Lost executors then cost no recomputation beyond this point. Spark's JVM deletes
     the files when it ends.
     """
+    return staged_with(df, label)[0]
+
+
+#: Rows of a small table that one task is to work on.
+ROWS_A_TASK = 50_000
+
+
+def staged_with(df: DataFrame, label: str, **more: Column) -> tuple[DataFrame, dict]:
+    """`staged`, and aggregates that are taken while it is written: `rows`, and more by name."""
     spark = df.sparkSession
+    seen = Observation()
+    df = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(name) for name, c in more.items()])
     path = f"{shared_dir(spark)}/staged-{uuid.uuid4().hex}/{label}"
     df.write.parquet(path)
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath.getParent())
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get
+
+
+def sized(df: DataFrame, rows: int) -> DataFrame:
+    """df, of so many rows, in no more partitions than they are worth; tables of one partition are grouped and joined without a shuffle."""
+    return df.coalesce(max(1, -(-rows // ROWS_A_TASK)))
 
 
 def id_remainder(doc_id: Column, modulus: int) -> Column:

@@ -1,7 +1,8 @@
 """Connected components by alternating large and small stars.
 
 Every round is two aggregations and two joins, so no component, however large, meets in
-one task or on the driver. Rounds are written to the shared folder.
+one task or on the driver. Rounds are written to the shared folder, and read back in as many
+partitions as their rows are worth.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import sized, staged_with
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -27,12 +28,13 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable. edges (a, b) of longs; loops and repeats don't matter."""
-    now = staged(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    mark = None
+    now = edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    mark, first = None, True
     while True:
-        found = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if not found[0] or tuple(found) == mark:
+        now, seen = staged_with(now.distinct() if first else now, "edges", sum=F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")))
+        first, now = False, sized(now, seen["rows"])
+        if not seen["rows"] or seen == mark:
             break
-        mark = tuple(found)
-        now = staged(_small_star(_large_star(now)), "edges")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
+        mark = seen
+        now = _small_star(_large_star(now))
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -2,16 +2,18 @@
 
 1. Each document becomes a set of word shingles (64-bit hashes), a digest of the set and a
    MinHash signature of one byte a place. Documents with equal sets are one from here on.
-2. The forest: signatures are sorted in several orders, each beginning at another place.
-   In every order a document's candidates are its next neighbours that share a prefix of
-   at least `MIN_DEPTH` places. As neighbours share the longest prefixes, the depth at
-   which candidates are found adapts to how crowded a region is.
-3. Candidates whose signatures agree enough are confirmed on the full sets: first the most
-   similar ones of each document; then those that would join two components.
-4. Where a region holds more documents than the neighbourhood reaches and they are still in
-   several components, those outside its largest one are compared with the whole region,
-   in blocks: by signature, and where that agrees on the full sets. Of the links found in a
-   block only those that join components leave it. So the reach is no cap.
+2. The forest: signatures are sorted in several orders, each beginning at another place. In
+   every order a document's candidates are its next neighbours, as far as they share a prefix
+   of at least `MIN_DEPTH` places and most of the places in view. Neighbours share the longest
+   prefixes, so the depth at which candidates are found adapts to how crowded a region is.
+3. Candidates are confirmed on the full sets: first the most similar ones of each document;
+   then those that would join two components.
+4. Where a region (a common prefix in one order) holds more documents than the neighbourhood
+   reaches and they are still in several components, those outside its largest one are compared
+   with the region: by signature, and where that agrees on the full sets. A region of over `CELL`
+   documents is split by longer prefixes (`DEPTHS`) first; what is still larger, in documents or
+   in bytes, is compared in blocks. Of the links found in a block only those that join components
+   leave it. So neither the reach nor the size of a region is a cap.
 
 Only components matter to the result: links inside one need not all be confirmed.
 
@@ -27,25 +29,27 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_arrow, map_batches, staged
+from .common import map_arrow, map_batches, sized, staged, staged_with
 from .graph import components
 
 SHINGLE = 5
 PLACES = 128
-TREES, STRIDE, DEPTH = 25, 5, 20
-MIN_DEPTH = 4
+#: Orders, places from the beginning of one to that of the next, and places of each that the sort has in view.
+TREES, STRIDE, DEPTH = 25, 5, 40
+#: Places that candidates share at the beginning; regions larger than a cell are split by the longer prefixes.
+MIN_DEPTH, DEPTHS = 4, (4, 6, 8)
 #: Neighbours looked at after each document in each order.
-REACH = 3
+REACH = 6
 #: Most similar candidates of each document that are confirmed first.
 FIRST = 2
-#: Standard deviations below the threshold at which signatures still count as agreeing.
-SLACK = 4.2
-#: Rows of a region that are compared at once, on either side.
-CELL = 1024
-#: Ids are broadcast up to this size, else joined by a shuffle.
+#: Standard deviations below the threshold at which signatures still count as agreeing, and at which places in view do.
+SLACK, VIEW_SLACK = 4.2, 2.5
+#: Rows of a region that are compared at once, on either side, and bytes of their sets.
+CELL, CELL_BYTES = 1024, 8 << 20
+#: Ids are broadcast up to this number, else joined by a shuffle.
 BROADCAST_IDS = 4_000_000
 
 _rng = np.random.default_rng(20240607)
@@ -153,54 +157,71 @@ def _forest(nodes: DataFrame) -> DataFrame:
     return rows.select("tree", F.expr(f"substring(twice, tree * {STRIDE} + 1, {DEPTH})").alias("label"), "id")
 
 
-def _neighbours(forest: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b), a < b, from the sorted orders.
+def _descend(forest: DataFrame, least: float) -> DataFrame:
+    """From the sorted orders (a, b, agree, tree, label): candidate pairs a < b, and, with null a, places b in crowded regions.
 
-    A pair on either side of a border between partitions is missed in that one order only.
+    A pair on either side of a border between partitions is missed in that one order only. A
+    partition's first and last regions may go on beyond its border, so they count as crowded.
     """
+    names = ["a", "b", "agree", "tree", "label"]
+
+    def rows_of(a, b, agree, tree, label) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+        return pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, k) for x, k in zip((a, b, agree, tree, label), kinds)], names)
+
+    def crowd(tree: np.ndarray, labels: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+        n = len(ids)
+        cut = np.ascontiguousarray(labels[:, : DEPTHS[-1]])
+        return rows_of(pa.nulls(n, pa.int64()), ids, pa.nulls(n, pa.int32()), tree.astype(np.int32), pa.array(cut.view(f"V{DEPTHS[-1]}").ravel().tolist(), pa.binary()))
 
     def run(batches):
-        kept = None
+        kept, region, border = None, None, True  # the rows of the region that is still open
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tree = batch.column(0).to_numpy().astype(np.int64)
-            label = np.frombuffer(b"".join(x[:MIN_DEPTH] for x in batch.column(1).to_pylist()), np.dtype(">u4")).astype(np.int64)
-            key, ids = tree << 32 | label, batch.column(2).to_numpy()
+            tree = batch.column(0).to_numpy()
+            labels = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, DEPTH)
+            ids = batch.column(2).to_numpy()
+            old = 0
             if kept is not None:
-                key, ids = np.concatenate([kept[0], key]), np.concatenate([kept[1], ids])
-            first = 0 if kept is None else len(kept[0])
-            a, b = [], []
+                old = len(kept[2])
+                tree, labels, ids = (np.concatenate([x, y]) for x, y in zip(kept, (tree, labels, ids)))
+            key = tree.astype(np.int64) << 32 | np.ascontiguousarray(labels[:, :MIN_DEPTH]).view(">u4").ravel().astype(np.int64)
+            a, b, agree = [], [], []
             for k in range(1, min(REACH, len(key) - 1) + 1):
-                later = np.arange(max(k, first), len(key))
+                later = np.arange(max(k, old), len(key))
                 later = later[(key[later] == key[later - k]) & (ids[later] != ids[later - k])]
-                a.append(np.minimum(ids[later], ids[later - k])), b.append(np.maximum(ids[later], ids[later - k]))
-            kept = key[-REACH:], ids[-REACH:]
+                same = (labels[later] == labels[later - k]).sum(axis=1)
+                later, same = later[same >= least], same[same >= least]
+                a.append(np.minimum(ids[later], ids[later - k])), b.append(np.maximum(ids[later], ids[later - k])), agree.append(same)
             if a and sum(map(len, a)):
-                pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+                a, b, agree = np.concatenate(a), np.concatenate(b), np.concatenate(agree)
+                yield rows_of(a, b, agree, pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.binary()))
+            # Regions that end in this batch are crowded if they have more rows than the neighbourhood reaches.
+            tree, labels, ids, key = tree[old:], labels[old:], ids[old:], key[old:]
+            edges = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            for start, end in zip(edges, np.append(edges[1:], len(key))):
+                if region is not None and region[0] != key[start]:
+                    if border or region[1] > REACH + 1:
+                        for part in region[2]:
+                            yield crowd(*part)
+                    region, border = None, False
+                if region is None:
+                    region = [key[start], 0, []]
+                region[1] += end - start
+                region[2].append((tree[start:end], labels[start:end], ids[start:end]))
+                if region[1] > REACH + 1 and len(region[2]) > 4:  # crowded already
+                    for part in region[2]:
+                        yield crowd(*part)
+                    region[2] = []
+            kept = tree[-REACH:], labels[-REACH:], ids[-REACH:]
+        if region is not None:
+            for part in region[2]:
+                yield crowd(*part)
 
     parts = max(forest.sparkSession.sparkContext.defaultParallelism, int(forest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ordered = forest.repartitionByRange(parts, "tree", "label", "id").sortWithinPartitions("tree", "label", "id")
-    return map_arrow(ordered, run, "a long, b long").distinct()
-
-
-def _agreeing(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
-    """(a, b, agree): pairs of which a share `least` or more of the signature's places agree."""
-    one = nodes.select(F.col("id").alias("a"), F.col("signature").alias("sa"))
-    two = nodes.select(F.col("id").alias("b"), F.col("signature").alias("sb"))
-
-    def make():
-        def one_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
-            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, PLACES) for k in (2, 3))
-            share = (x == y).mean(axis=1)
-            keep = pa.array(share >= least)
-            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(share)], ["a", "b", "agree"]).filter(keep)
-
-        return one_batch
-
-    joined = pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb")
-    return map_batches(joined, make, "a long, b long, agree double")
+    return map_arrow(ordered, run, "a long, b long, agree int, tree int, label binary")
 
 
 def only_ids(docs: DataFrame, ids: DataFrame, n_ids: int, how: str = "left_semi") -> DataFrame:
@@ -208,40 +229,45 @@ def only_ids(docs: DataFrame, ids: DataFrame, n_ids: int, how: str = "left_semi"
     return docs.join(F.broadcast(ids) if n_ids <= BROADCAST_IDS else ids, "id", how)
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets satisfy 100 * intersection >= percent * union. pairs must be staged."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    ids = staged(ids, "ids")
-    texts = only_ids(docs, ids, ids.count())
-    one = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
-    two = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
+def _confirmed(pairs: DataFrame, n_pairs: int, docs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets satisfy 100 * intersection >= percent * union.
 
-    def make():
-        last: dict[int, np.ndarray] = {}
+    Texts become sets where they lie, and a pair's two sets meet by one shuffle.
+    """
+    sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("id"))
+    asked = docs.join(F.broadcast(sides) if 2 * n_pairs <= BROADCAST_IDS else sides, "id").select("id", "a", "b", "text")
 
-        def of(key: int, text) -> np.ndarray:
-            if key not in last:
-                if len(last) >= 8:
-                    last.clear()
-                last[key] = shingle_set(text.as_py())
-            return last[key]
+    def sets():
+        last: list = [None, None, b""]
 
-        def one_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+            out = []
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(3)):
+                value = text.as_py()
+                if key != last[0] or value != last[1]:
+                    last[:] = key, value, shingle_set(value).tobytes()
+                out.append(last[2])
+            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(out, pa.binary())], ["id", "a", "b", "shingles"])
+
+        return one
+
+    def compare():
+        def one(batch: pa.RecordBatch) -> pa.RecordBatch:
             keep = []
-            for k in range(len(a)):
-                x, y = of(a[k], batch.column(2)[k]), of(b[k], batch.column(3)[k])
+            for x, y in zip(batch.column(2), batch.column(3)):
+                x, y = (np.frombuffer(z.as_buffer(), np.uint64) if z.is_valid else np.zeros(0, np.uint64) for z in (x, y))
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
+                keep.append(100 * both >= percent * (len(x) + len(y) - both) and both > 0)
+            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-        return one_batch
+        return one
 
-    joined = pairs.select("a", "b").join(two, "b").join(one, "a").select("a", "b", "ta", "tb")
-    return map_batches(joined, make, "a long, b long")
+    drawn = map_batches(asked, sets, "id long, a long, b long, shingles binary")
+    side = lambda x: F.max(F.when(F.col("id") == F.col(x), F.col("shingles")))
+    return map_batches(drawn.groupBy("a", "b").agg(side("a").alias("x"), side("b").alias("y")), compare, "a long, b long")
 
 
-def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+def _sets_of(docs: DataFrame, ids: DataFrame, n_ids: int) -> DataFrame:
     """(id, shingles): the full sets of some documents, as packed hashes."""
 
     def make():
@@ -250,7 +276,7 @@ def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
         return one
 
-    return map_batches(only_ids(docs, ids, ids.count()).select("id", "text"), make, "id long, shingles binary").dropDuplicates(["id"])
+    return map_batches(only_ids(docs, ids, n_ids).select("id", "text"), make, "id long, shingles binary").dropDuplicates(["id"])
 
 
 def common_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
@@ -301,22 +327,34 @@ def joining_links(ids: np.ndarray, comp: np.ndarray, signatures: np.ndarray, set
     return out
 
 
-def _crowded(forest: DataFrame, nodes: DataFrame, comps: DataFrame, docs: DataFrame, least: float, percent: int) -> DataFrame:
-    """Confirmed links (a, b) between components in regions beyond the neighbourhood's reach."""
-    placed = forest.select("tree", F.substring("label", 1, MIN_DEPTH).alias("prefix"), "id").join(comps.select(F.col("node").alias("id"), "component"), "id", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "id"))
+def _crowded(places: DataFrame, n_places: int, nodes: DataFrame, comps: DataFrame, n_comps: int, docs: DataFrame, least: float, percent: int) -> DataFrame:
+    """Confirmed links (a, b) between components in regions beyond the neighbourhood's reach. places: (tree, label, id)."""
+    of = comps.select(F.col("node").alias("id"), "component")
+    placed = sized(places, n_places).join(F.broadcast(of) if n_comps <= BROADCAST_IDS else of, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    placed = placed.withColumn("prefix", F.substring("label", 1, MIN_DEPTH))
+    for depth, deeper in zip(DEPTHS[:-1], DEPTHS[1:]):  # there are at most rows / CELL regions to split
+        large = placed.where(F.length("prefix") == depth).groupBy("tree", "prefix").agg(F.count("*").alias("n")).where(F.col("n") > CELL).select("tree", "prefix", F.lit(True).alias("large"))
+        placed = placed.join(F.broadcast(large), ["tree", "prefix"], "left").withColumn("prefix", F.when(F.col("large"), F.substring("label", 1, deeper)).otherwise(F.col("prefix"))).drop("large")
+    placed = placed.drop("label")
     parts = placed.groupBy("tree", "prefix", "component").agg(F.count("*").alias("n"))
     regions = parts.groupBy("tree", "prefix").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("component", "n").alias("main"))
     regions = regions.where(f"n > {REACH + 1} AND n > most")
-    rows = staged(placed.join(regions, ["tree", "prefix"]), "crowded")
-    sets = staged(_sets_of(docs, staged(rows.select("id").distinct(), "ids")), "sets")
-    side = lambda n: F.ceil(n / CELL).cast("int")
-    n_all, n_few = side(F.col("n")), side(F.col("n") - F.col("most"))
+    rows, seen = staged_with(placed.join(regions, ["tree", "prefix"]), "crowded")
+    rows = sized(rows, seen["rows"])
+    ids, n_ids = staged_with(rows.select("id").distinct(), "ids")
+    sets = staged(_sets_of(docs, ids, n_ids["rows"]), "sets")
+    size = F.length("shingles")
+    rows = rows.join(nodes.select("id", "signature").join(sets, "id"), "id")
+    bytes_of = rows.groupBy("tree", "prefix").agg(F.sum(size).alias("bytes"))
+    rows = rows.join(bytes_of, ["tree", "prefix"])
+    # A large set counts for several rows, so that a block is bounded in bytes but for one set.
+    blocks = lambda n: F.greatest(F.ceil(n / CELL), F.ceil(F.col("bytes") / CELL_BYTES)).cast("int")
+    n_all, n_few = blocks(F.col("n")), F.least(blocks(F.col("n") - F.col("most")), F.greatest(F.lit(1), (F.col("n") - F.col("most")).cast("int")))
     hashed = F.xxhash64("id")
+    columns = ["tree", "prefix", "id", "component", "signature", "shingles"]
     # A row of the region is in one block of all; one outside the main component also in one block of the few.
-    everyone = rows.select("tree", "prefix", "id", "component", F.lit(False).alias("few"), F.pmod(hashed, n_all).cast("int").alias("x"), F.explode(F.sequence(F.lit(0), n_few - 1)).alias("y"))
-    others = rows.where("component != main").select("tree", "prefix", "id", "component", F.lit(True).alias("few"), F.explode(F.sequence(F.lit(0), n_all - 1)).alias("x"), F.pmod(hashed, n_few).cast("int").alias("y"))
-    cells = everyone.unionByName(others).join(nodes.join(sets, "id"), "id")
+    everyone = rows.select(*columns, F.lit(False).alias("few"), F.pmod(hashed, n_all).cast("int").alias("x"), F.explode(F.sequence(F.lit(0), n_few - 1)).alias("y"))
+    others = rows.where("component != main").select(*columns, F.lit(True).alias("few"), F.explode(F.sequence(F.lit(0), n_all - 1)).alias("x"), F.pmod(hashed, n_few).cast("int").alias("y"))
 
     def compare(table: pa.Table) -> pa.Table:
         signatures = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(-1, PLACES)
@@ -325,43 +363,57 @@ def _crowded(forest: DataFrame, nodes: DataFrame, comps: DataFrame, docs: DataFr
         links = joining_links(table.column("id").to_numpy(), table.column("component").to_numpy(), signatures, full, few, least, percent)
         return pa.table([pa.array([min(x) for x in links], pa.int64()), pa.array([max(x) for x in links], pa.int64())], names=["a", "b"])
 
-    return cells.groupBy("tree", "prefix", "x", "y").applyInArrow(compare, "a long, b long").distinct()
+    return everyone.unionByName(others).groupBy("tree", "prefix", "x", "y").applyInArrow(compare, "a long, b long").distinct()
 
 
 def near_copies(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row of docs."""
-    least = percent / 100 - SLACK * (percent / 100 * (1 - percent / 100) / PLACES) ** 0.5
+    share, deviation = percent / 100, (percent / 100 * (1 - percent / 100)) ** 0.5
+    least = share - SLACK * deviation / PLACES**0.5
+    in_view = DEPTH * share - VIEW_SLACK * deviation * DEPTH**0.5
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     drawn = staged(sketch(docs, id_col, text_col), "sketch")
-    sets = staged(drawn.where("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep")), "sets")
-    reps = sets.where("rep IS NOT NULL").select(F.col("rep").alias("id"), "digest")
-    nodes = staged(drawn.join(reps, ["id", "digest"]).select("id", "signature").dropDuplicates(["id", "signature"]), "nodes")
-    forest = _forest(nodes)
-    pairs = staged(_agreeing(_neighbours(forest), nodes, least), "pairs")
+    sets = drawn.where("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep"), F.first("signature").alias("signature"))
+    sets = staged(sets, "sets")
+    nodes = sets.where("rep IS NOT NULL").select(F.col("rep").alias("id"), "signature")
+    found = staged(_descend(_forest(nodes), in_view), "forest")
+    pairs, seen = staged_with(found.where("a IS NOT NULL").groupBy("a", "b").agg(F.max("agree").alias("agree")), "pairs")
+    pairs = sized(pairs, seen["rows"])
+    places, n_places = staged_with(found.where("a IS NULL").select("tree", "label", F.col("b").alias("id")), "places")
 
     ends = pairs.select("a", "b", "agree", F.explode(F.array("a", "b")).alias("of"))
-    from pyspark.sql import Window
-
     nearest = ends.withColumn("k", F.row_number().over(Window.partitionBy("of").orderBy(F.desc("agree"), "a", "b"))).where(f"k <= {FIRST}")
-    first = staged(nearest.select("a", "b").distinct(), "first")
-    links = staged(_confirmed(first, rows, percent), "links")
-    comps = staged(components(links), "components")
+    first, n_first = staged_with(nearest.select("a", "b").distinct(), "first")
+    first = sized(first, n_first["rows"])
+    links, n_links = staged_with(_confirmed(first, n_first["rows"], rows, percent), "links")
+    links = sized(links, n_links["rows"])
+
+    def joined(some: DataFrame) -> tuple[DataFrame, int]:
+        comps, n_comps = staged_with(components(some), "components")
+        return sized(comps, n_comps["rows"]), n_comps["rows"]
+
+    comps, n_comps = joined(links)
 
     def between(candidates: DataFrame) -> DataFrame:
-        """Those of different components that have not been tried."""
+        """Those of different components."""
         of = lambda x: comps.select(F.col("node").alias(x), F.col("component").alias("c" + x))
-        both = candidates.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left")
+        few = lambda df: F.broadcast(df) if n_comps <= BROADCAST_IDS else df
+        both = candidates.select("a", "b").join(few(of("a")), "a", "left").join(few(of("b")), "b", "left")
         return both.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
-    second = staged(between(pairs).join(first, ["a", "b"], "left_anti"), "second")
-    if not second.isEmpty():
-        links = links.unionByName(staged(_confirmed(second, rows, percent), "links"))
-        comps = staged(components(links), "components")
-    third = staged(_crowded(forest, nodes, comps, rows, least, percent), "links")
-    if not third.isEmpty():
-        comps = staged(components(links.unionByName(third)), "components")
-
-    of_set = sets.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
+    stars = lambda: comps.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    second, n_second = staged_with(between(pairs).join(first, ["a", "b"], "left_anti"), "second")
+    if n_second["rows"]:
+        links, n_links = staged_with(_confirmed(sized(second, n_second["rows"]), n_second["rows"], rows, percent), "links")
+        if n_links["rows"]:
+            comps, n_comps = joined(stars().unionByName(sized(links, n_links["rows"])))
+    if n_places["rows"]:
+        third, n_third = staged_with(_crowded(places, n_places["rows"], nodes, comps, n_comps, rows, least, percent), "links")
+        if n_third["rows"]:
+            comps, n_comps = joined(stars().unionByName(sized(third, n_third["rows"])))
+
+    rep = comps.withColumnRenamed("node", "rep")
+    of_set = sets.join(F.broadcast(rep) if n_comps <= BROADCAST_IDS else rep, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
     out = drawn.select("id", "n_shingles", "digest").join(of_set, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
@@ -369,9 +421,9 @@ def near_copies(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text
 
 def drop_near_copies(docs: DataFrame, percent: int = 80) -> DataFrame:
     """The rows of docs, with docs' own columns, that are the first of their component, and those without an id."""
-    gone = staged(near_copies(docs, percent).where("NOT kept").select(F.col("doc_id").alias("id")).distinct(), "gone")
+    gone, seen = staged_with(near_copies(docs, percent).where("NOT kept").select(F.col("doc_id").alias("id")).distinct(), "gone")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    return only_ids(docs.select(row, F.col("doc_id").cast("long").alias("id")), gone, gone.count(), "left_anti").select("_row.*")
+    return only_ids(docs.select(row, F.col("doc_id").cast("long").alias("id")), gone, seen["rows"], "left_anti").select("_row.*")
 
 
 ORACLE_SQL = r"""
