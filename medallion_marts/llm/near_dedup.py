@@ -8,12 +8,13 @@
    prefixes, so the depth at which candidates are found adapts to how crowded a region is.
 3. Candidates are confirmed on the full sets: first the most similar ones of each document;
    then those that would join two components.
-4. Where a region (a common prefix in one order) holds more documents than the neighbourhood
-   reaches and they are still in several components, those outside its largest one are compared
-   with the region: by signature, and where that agrees on the full sets. A region of over `CELL`
-   documents is split by longer prefixes (`DEPTHS`) first; what is still larger, in documents or
-   in bytes, is compared in blocks. Of the links found in a block only those that join components
-   leave it. So neither the reach nor the size of a region is a cap.
+4. Where a region (a common prefix of `CROWD_DEPTH` places in one order) holds more documents
+   than the neighbourhood reaches and they are still in several components, those outside its
+   largest one are compared with the region: by signature, and where that agrees on the full
+   sets. A region of over `CELL` documents is split by a longer prefix first, the longest that
+   linked documents still share in some order but for a thousandth of them (`deepest`); what is
+   still larger, in documents or in bytes, is compared in blocks. Of the links found in a block
+   only those that join components leave it. So neither the reach nor a region's size is a cap.
 
 Only components matter to the result: links inside one need not all be confirmed.
 
@@ -39,8 +40,8 @@ SHINGLE = 5
 PLACES = 128
 #: Orders, places from the beginning of one to that of the next, and places of each that the sort has in view.
 TREES, STRIDE, DEPTH = 25, 5, 40
-#: Places that candidates share at the beginning; regions larger than a cell are split by the longer prefixes.
-MIN_DEPTH, DEPTHS = 4, (4, 6, 8)
+#: Places that candidates share at the beginning; and those of a crowded region.
+MIN_DEPTH, CROWD_DEPTH = 4, 6
 #: Neighbours looked at after each document in each order.
 REACH = 6
 #: Most similar candidates of each document that are confirmed first.
@@ -157,6 +158,11 @@ def _forest(nodes: DataFrame) -> DataFrame:
     return rows.select("tree", F.expr(f"substring(twice, tree * {STRIDE} + 1, {DEPTH})").alias("label"), "id")
 
 
+def deepest(percent: int) -> int:
+    """The longest prefix that a pair at the threshold shares in one of the orders but for one time in a thousand."""
+    return max([CROWD_DEPTH, *(d for d in range(CROWD_DEPTH, DEPTH) if (1 - (percent / 100) ** d) ** TREES <= 1e-3)])
+
+
 def _descend(forest: DataFrame, least: float) -> DataFrame:
     """From the sorted orders (a, b, agree, tree, label): candidate pairs a < b, and, with null a, places b in crowded regions.
 
@@ -171,8 +177,7 @@ def _descend(forest: DataFrame, least: float) -> DataFrame:
 
     def crowd(tree: np.ndarray, labels: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
         n = len(ids)
-        cut = np.ascontiguousarray(labels[:, : DEPTHS[-1]])
-        return rows_of(pa.nulls(n, pa.int64()), ids, pa.nulls(n, pa.int32()), tree.astype(np.int32), pa.array(cut.view(f"V{DEPTHS[-1]}").ravel().tolist(), pa.binary()))
+        return rows_of(pa.nulls(n, pa.int64()), ids, pa.nulls(n, pa.int32()), tree.astype(np.int32), pa.array([x.tobytes() for x in labels[:, :16]], pa.binary()))
 
     def run(batches):
         kept, region, border = None, None, True  # the rows of the region that is still open
@@ -198,7 +203,10 @@ def _descend(forest: DataFrame, least: float) -> DataFrame:
                 a, b, agree = np.concatenate(a), np.concatenate(b), np.concatenate(agree)
                 yield rows_of(a, b, agree, pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.binary()))
             # Regions that end in this batch are crowded if they have more rows than the neighbourhood reaches.
-            tree, labels, ids, key = tree[old:], labels[old:], ids[old:], key[old:]
+            tree, labels, ids = tree[old:], labels[old:], ids[old:]
+            key = tree.astype(np.int64) << 48
+            for k in range(CROWD_DEPTH):
+                key |= labels[:, k].astype(np.int64) << (8 * k)
             edges = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
             for start, end in zip(edges, np.append(edges[1:], len(key))):
                 if region is not None and region[0] != key[start]:
@@ -331,11 +339,12 @@ def _crowded(places: DataFrame, n_places: int, nodes: DataFrame, comps: DataFram
     """Confirmed links (a, b) between components in regions beyond the neighbourhood's reach. places: (tree, label, id)."""
     of = comps.select(F.col("node").alias("id"), "component")
     placed = sized(places, n_places).join(F.broadcast(of) if n_comps <= BROADCAST_IDS else of, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    placed = placed.withColumn("prefix", F.substring("label", 1, MIN_DEPTH))
-    for depth, deeper in zip(DEPTHS[:-1], DEPTHS[1:]):  # there are at most rows / CELL regions to split
-        large = placed.where(F.length("prefix") == depth).groupBy("tree", "prefix").agg(F.count("*").alias("n")).where(F.col("n") > CELL).select("tree", "prefix", F.lit(True).alias("large"))
-        placed = placed.join(F.broadcast(large), ["tree", "prefix"], "left").withColumn("prefix", F.when(F.col("large"), F.substring("label", 1, deeper)).otherwise(F.col("prefix"))).drop("large")
-    placed = placed.drop("label")
+    placed = placed.withColumn("prefix", F.substring("label", 1, CROWD_DEPTH))
+    # There are at most places / CELL regions to split.
+    large = placed.groupBy("tree", "prefix").agg(F.count("*").alias("n")).where(F.col("n") > CELL).select("tree", "prefix", F.lit(True).alias("large"))
+    large = F.broadcast(large) if n_places / CELL <= BROADCAST_IDS else large
+    longer = F.substring("label", 1, min(16, deepest(percent)))
+    placed = placed.join(large, ["tree", "prefix"], "left").withColumn("prefix", F.when(F.col("large"), longer).otherwise(F.col("prefix"))).drop("large", "label")
     parts = placed.groupBy("tree", "prefix", "component").agg(F.count("*").alias("n"))
     regions = parts.groupBy("tree", "prefix").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("component", "n").alias("main"))
     regions = regions.where(f"n > {REACH + 1} AND n > most")
