@@ -1,10 +1,14 @@
 """Exact deduplication by two passes over a Bloom filter, in DataFrame functions only.
 
 Pass 1 counts how many rows set each filter position and keeps, as bitmaps of 32,768
-positions, those set by two rows or more. Pass 2 looks every row up: a row with a position
+positions, those set by two rows or more. Pass 2 looks every digest up: one with a position
 that no other row has set is surely unique and passes straight through; only the rest is
-shuffled and grouped by digest. False positives merely take the long way, so the result is
-exact.
+shuffled and grouped. False positives merely take the long way, so the result is exact.
+
+The filter has 16 positions a row up to `FILTER_BYTES`, so that it can always be broadcast; with
+more rows more of the unique digests take the long way. Texts are never moved to find copies:
+digests are. To drop copies, a second filter, of the digests that do repeat, tells which rows
+may have to go; only these are shuffled with their texts.
 
 Defined results: null text counts as empty; a null id never wins against a number; rows
 that repeat an id and a text share one verdict in `find_copies` and leave one row in
@@ -18,13 +22,12 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import staged_with
 
 #: Filter positions for each row. Two positions a row: about 1.5 % of unique rows take the long way.
 POSITIONS_PER_ROW = 16
-#: The filter is broadcast up to this size and joined by bitmap number beyond it.
-BROADCAST_FILTER_BYTES = 32 << 20
-BITMAP_BYTES = 4096
+#: The filter's size at most.
+FILTER_BYTES = 32 << 20
 #: Groups of a thousandth of all rows or more (and of so many rows at least) are large: there are at most a thousand.
 LARGE_GROUPS, LARGE_AT_LEAST = 1000, 20
 
@@ -37,15 +40,14 @@ def _positions(digest: Column, size: int) -> list[Column]:
     return [F.pmod(F.xxhash64(digest, F.lit(seed)), F.lit(size)) for seed in (1, 2)]
 
 
-def _repeated_positions(digests: DataFrame, size: int) -> tuple[DataFrame, int]:
-    """Bitmaps of the positions that two or more rows set, and the number of bitmaps."""
+def _filter(digests: DataFrame, rows: int, least: int) -> tuple[DataFrame, int]:
+    """Bitmaps of the positions that `least` rows or more set, and the number of positions."""
+    size = min(8 * FILTER_BYTES, 1 << max(15, math.ceil(math.log2(max(1, rows) * POSITIONS_PER_ROW))))
     pos = digests.select(F.explode(F.array_distinct(F.array(*_positions(F.col("_digest"), size)))).alias("pos"))
-    twice = pos.groupBy("pos").agg(F.count("*").alias("n")).where("n >= 2")
-    bitmaps = staged(
-        twice.groupBy(F.bitmap_bucket_number("pos").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("pos")).alias("_bits")),
-        "filter",
-    )
-    return bitmaps, bitmaps.count()
+    if least > 1:
+        pos = pos.groupBy("pos").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    bitmaps = pos.groupBy(F.bitmap_bucket_number("pos").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("pos")).alias("_bits"))
+    return staged_with(bitmaps, "filter")[0], size
 
 
 def _is_set(bits: Column, pos: Column) -> Column:
@@ -54,31 +56,27 @@ def _is_set(bits: Column, pos: Column) -> Column:
     return F.coalesce(F.pmod(F.floor(byte / F.pow(F.lit(2), at % 8)), F.lit(2)) == 1, F.lit(False))
 
 
-def _flag(rows: DataFrame, bitmaps: DataFrame, n_bitmaps: int, size: int) -> DataFrame:
+def _flag(rows: DataFrame, bitmaps: DataFrame, size: int) -> DataFrame:
     """rows with `_maybe`: whether both positions of their digest are in the filter."""
     out = rows.withColumn("_maybe", F.lit(True))
     for pos in _positions(F.col("_digest"), size):
-        side = bitmaps.select(F.col("_bucket"), F.col("_bits"))
-        if n_bitmaps * BITMAP_BYTES <= BROADCAST_FILTER_BYTES:
-            side = F.broadcast(side)
-        out = out.withColumn("_bucket", F.bitmap_bucket_number(pos)).join(side, "_bucket", "left")
+        out = out.withColumn("_bucket", F.bitmap_bucket_number(pos)).join(F.broadcast(bitmaps), "_bucket", "left")
         out = out.withColumn("_maybe", F.col("_maybe") & _is_set(F.col("_bits"), pos)).drop("_bucket", "_bits")
     return out
 
 
-def _filter_size(rows: int) -> int:
-    return 1 << max(15, math.ceil(math.log2(max(1, rows) * POSITIONS_PER_ROW)))
+def _groups(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, int, int]:
+    """(rows (_id, _digest, _maybe), groups of those that may be repeated (_digest, keep_id, group_size), numbers of rows and of such groups)."""
+    digests, seen = staged_with(docs.select(F.col(id_col).alias("_id"), _digest(text_col).alias("_digest")), "digests")
+    flagged = _flag(digests, *_filter(digests, seen["rows"], 2))
+    groups, found = staged_with(flagged.where("_maybe").groupBy("_digest").agg(F.max("_id").alias("keep_id"), F.count("*").alias("group_size")), "groups")
+    return flagged, groups, seen["rows"], found["rows"]
 
 
 def find_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, keep_id, group_size, kept, text_sha256) for every row; of equal texts the largest id stays."""
-    digests = staged(docs.select(F.col(id_col).alias("_id"), _digest(text_col).alias("_digest")), "digests")
-    n_rows = digests.count()
-    size = _filter_size(n_rows)
-    bitmaps, n_bitmaps = _repeated_positions(digests, size)
-    flagged = _flag(digests, bitmaps, n_bitmaps, size)
+    flagged, groups, n_rows, _ = _groups(docs, id_col, text_col)
     maybe = flagged.where("_maybe").select("_id", "_digest")
-    groups = staged(maybe.groupBy("_digest").agg(F.max("_id").alias("keep_id"), F.count("*").alias("group_size")), "groups")
     # Large groups are few, so they are broadcast; a join by digest would put each into one task.
     large = F.col("group_size") >= max(LARGE_AT_LEAST, n_rows // LARGE_GROUPS)
     at_once = maybe.join(F.broadcast(groups.where(large)), "_digest", "left")
@@ -96,14 +94,15 @@ def find_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay, with docs' own columns; unique texts are not shuffled."""
-    digests = staged(docs.select(F.col(id_col).alias("_id"), _digest(text_col).alias("_digest")), "digests")
-    size = _filter_size(digests.count())
-    bitmaps, n_bitmaps = _repeated_positions(digests, size)
-    keepers = _flag(digests, bitmaps, n_bitmaps, size).where("_maybe").groupBy("_digest").agg(F.max("_id").alias("_keep"))
+    flagged, groups, _, n_groups = _groups(docs, id_col, text_col)
+    repeated = groups.where("group_size > 1")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    rows = _flag(docs.select(row, F.col(id_col).alias("_id"), _digest(text_col).alias("_digest")), bitmaps, n_bitmaps, size)
+    rows = _flag(docs.select(row, F.col(id_col).alias("_id"), _digest(text_col).alias("_digest")), *_filter(repeated, n_groups, 1))
     # (digest, id) is spread evenly even where one digest has a third of the rows.
-    maybe = rows.where("_maybe").alias("r").join(keepers.alias("k"), (F.col("r._digest") == F.col("k._digest")) & F.col("r._id").eqNullSafe(F.col("k._keep")), "left_semi")
+    keepers = repeated.select("_digest", "keep_id")
+    few = F.broadcast(keepers) if n_groups * 64 <= FILTER_BYTES else keepers
+    losers = flagged.where("_maybe").join(few, "_digest").where(~F.col("_id").eqNullSafe(F.col("keep_id"))).select("_digest", "_id")
+    maybe = rows.where("_maybe").alias("r").join(losers.alias("k"), (F.col("r._digest") == F.col("k._digest")) & F.col("r._id").eqNullSafe(F.col("k._id")), "left_anti")
     maybe = maybe.dropDuplicates(["_digest", "_id"])
     return rows.where(~F.col("_maybe")).select("_row").unionByName(maybe.select("_row")).select("_row.*")
 

@@ -53,10 +53,24 @@ def test_exact_dedup(odd, none, docs_of):
     assert [tuple(r)[1:4] for r in only_null.collect()] == [(None, 2, True)] * 2
 
 
-def test_exact_dedup_without_broadcast(odd, monkeypatch):
-    before = sorted(map(str, exact_dedup.find_copies(odd).collect()))
-    monkeypatch.setattr(exact_dedup, "BROADCAST_FILTER_BYTES", 0)
-    assert sorted(map(str, exact_dedup.find_copies(odd).collect())) == before
+def test_exact_dedup_with_a_full_filter(odd, docs_of, monkeypatch):
+    """A filter too small for its rows sends them all the long way; results stay."""
+    many = docs_of([(k, f"text {k % 700}") for k in range(1000)])
+    before = [sorted(map(str, f(df).collect())) for f in (exact_dedup.find_copies, exact_dedup.drop_copies) for df in (odd, many)]
+    monkeypatch.setattr(exact_dedup, "FILTER_BYTES", 1)
+    assert [sorted(map(str, f(df).collect())) for f in (exact_dedup.find_copies, exact_dedup.drop_copies) for df in (odd, many)] == before
+
+
+def test_exact_dedup_moves_no_texts_and_no_python(docs_of):
+    """No Python in the plans; what finds copies never shuffles a text, and what drops them only rows of the second filter."""
+    docs = docs_of([(k, f"text {k % 700}") for k in range(1000)])
+    for df, allowed in ((exact_dedup.find_copies(docs), 0), (exact_dedup.drop_copies(docs), 2)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan
+        inner = df._jdf.queryExecution().optimizedPlan().toString()
+        assert inner.count("_maybe") > 0
+        shuffled = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        assert sum("text" in line for line in shuffled) <= allowed
 
 
 def test_bpe(odd, none):
