@@ -354,6 +354,52 @@ def test_crf_marginals():
     assert m.marginals(at, emission, length) == pytest.approx(marginal[at], rel=1e-6)
 
 
+def test_crf_gradient():
+    """The gradient of the likelihood of documents' labels, by differences; and the likelihood by all taggings."""
+    rng = np.random.default_rng(4)
+    n, length, k = 5, 4, 3
+    index, mask = rng.integers(0, k + 1, (n, length, 2)), np.array([[True] * 4, [True] * 3 + [False], [True] * 4, [True] + [False] * 3, [True] * 4])
+    doc, toxic = np.array([0, 0, 1, 2, 3]), np.array([1, 0, 1, 0])
+    theta = rng.normal(size=k + 5)
+    value, grad = toxicity.chain_likelihood(theta, index, mask, doc, toxic, k, 0.3)
+    import itertools
+
+    w, trans = np.append(theta[:k], 0.0), theta[k + 1 :].reshape(2, 2)
+    log_none = np.zeros(4)
+    for i in range(n):
+        m = int(mask[i].sum())
+        score = lambda tags: sum(trans[a, b] + b * (w[index[i, t]].sum() + theta[k]) for t, (a, b) in enumerate(zip((0, *tags), tags)))  # noqa: E731, B023
+        log_none[doc[i]] += score((0,) * m) - np.log(sum(np.exp(score(tags)) for tags in itertools.product((0, 1), repeat=m)))
+    expected = sum(np.log(1 - np.exp(x)) if y else x for x, y in zip(log_none, toxic)) - 0.15 * (theta**2).sum()
+    assert value == pytest.approx(expected)
+    for j in range(len(theta)):
+        up, down = theta.copy(), theta.copy()
+        up[j] += 1e-6
+        down[j] -= 1e-6
+        slope = (toxicity.chain_likelihood(up, index, mask, doc, toxic, k, 0.3)[0] - toxicity.chain_likelihood(down, index, mask, doc, toxic, k, 0.3)[0]) / 2e-6
+        assert slope == pytest.approx(grad[j], abs=1e-5)
+
+
+def test_toxicity_windows_hold_every_hit():
+    rng = random.Random(2)
+    for length in (1, 5, 60, 4000):
+        at = sorted(rng.sample(range(length), min(length, 50)))
+        spans = toxicity.windows(at, length)
+        places = [p for s in spans for p in s]
+        assert len(places) == len(set(places)) and set(at) <= set(places) <= set(range(length)) and max(map(len, spans)) <= toxicity.LONGEST
+    assert toxicity.windows([], 0) == []
+
+
+def test_toxic_span_in_a_very_long_text(spark, docs_of):
+    rows = [(i, prose(i, 60) + (" you idiot moron" if i % 2 else "")) for i in range(60)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i, _ in rows], LABELS)
+    model = toxicity.learn(docs_of(rows), labels)
+    text = prose(7, 30_000) + " you idiot moron " + prose(8, 30_000)
+    got = {r.doc_id: r for r in toxicity.tag(docs_of([(1, text), (2, prose(7, 30_000)), (3, ""), (4, "qq")]), model).collect()}
+    assert got[1].n_toxic >= 1 and text[got[1].spans[0].start : got[1].spans[-1].end].split()[-1] == "moron" and got[1].score > got[2].score
+    assert got[3].score == got[4].score > 0
+
+
 def test_quality(spark, odd, none, docs_of):
     no_labels = spark.createDataFrame([], LABELS)
     assert quality.assess(none, no_labels).count() == 0
