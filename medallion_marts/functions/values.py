@@ -34,14 +34,30 @@ def millis(epoch: Column) -> Column:
     return F.timestamp_millis(F.coalesce(epoch, F.lit(0)))
 
 
-def head_sum(details: Column, amount: str, head: str | None = None) -> Column:
-    """The sum of a details array's `amount` (decimal text) over one tax head, or over all."""
-    chosen = details if head is None else F.filter(details, lambda d: d["taxHeadMasterCode"] == head)
-    zero = F.lit(0).cast("decimal(18,4)")
-    add = lambda total, d: (total + F.coalesce(d[amount].try_cast("decimal(18,4)"), zero)).cast("decimal(18,4)")
-    return F.coalesce(F.aggregate(chosen, zero, add), zero)
+AMOUNT = "decimal(18,4)"
 
 
-def pivot_heads(details: Column, heads: tuple[str, ...], amount: str, suffix: str = "") -> list[Column]:
-    """One column for each head, within the row: no explode, no shuffle."""
-    return [head_sum(details, amount, head).alias(head.lower() + suffix) for head in heads]
+def amounts(details: Column, names: tuple[str, ...]) -> Column:
+    """(head, and a decimal for each of names, given as text) of each detail; what is no number is 0."""
+    zero = F.lit(0).cast(AMOUNT)
+    one = lambda d: F.struct(F.coalesce(d["taxHeadMasterCode"], F.lit("")).alias("head"), *[F.coalesce(d[n].try_cast(AMOUNT), zero).alias(n) for n in names])
+    return F.coalesce(F.transform(details, one), F.array().cast(f"array<struct<head:string,{','.join(f'{n}:{AMOUNT}' for n in names)}>>"))
+
+
+def _sum(rows: Column, name: str) -> Column:
+    return F.aggregate(rows, F.lit(0).cast(AMOUNT), lambda total, d: (total + d[name]).cast(AMOUNT))
+
+
+def head_sums(rows: Column, names: tuple[str, ...]) -> Column:
+    """Of `amounts`: a map from each head that occurs to its sums, within the row: no explode, no shuffle."""
+    of = lambda h: F.struct(h.alias("key"), F.struct(*[_sum(F.filter(rows, lambda d: d["head"] == h), n).alias(n) for n in names]).alias("value"))
+    return F.map_from_entries(F.transform(F.array_distinct(F.transform(rows, lambda d: d["head"])), of))
+
+
+def total_of(sums: Column, name: str) -> Column:
+    return _sum(F.map_values(sums), name)
+
+
+def pivot_heads(sums: Column, heads: tuple[str, ...], name: str, suffix: str = "") -> list[Column]:
+    """One column for each head from `head_sums`."""
+    return [F.coalesce(sums[head][name], F.lit(0).cast(AMOUNT)).alias(head.lower() + suffix) for head in heads]

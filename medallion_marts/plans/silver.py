@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.fiscal import fiscal_year
-from ..functions.values import head_sum, millis, pivot_heads
+from ..functions.values import amounts, head_sums, millis, pivot_heads, total_of
 from ..operators.latest import conform, latest_state
 
 
-def _parsed(raw: DataFrame, shape: str) -> DataFrame:
-    """The event as columns; texts that are not such an object are left out."""
+def parsed(raw: DataFrame, shape: str) -> DataFrame:
+    """The event as columns; texts that are not such an object are left out. What is parsed already stays."""
+    if "raw" not in raw.columns:
+        return raw
     event = F.from_json("raw", shape, {"mode": "PERMISSIVE"})
     kept = [c for c in ("_ingested_at",) if c in raw.columns]
     return raw.select(*kept, event.alias("e")).where(F.col("e.tenantId").isNotNull()).select(*kept, "e.*")
@@ -70,12 +73,12 @@ def to_property_address(raw: DataFrame) -> DataFrame:
         "latitude": F.col(f"{a}.geoLocation.latitude").try_cast("decimal(9,6)"),
         "longitude": F.col(f"{a}.geoLocation.longitude").try_cast("decimal(10,7)"),
     }
-    return _entity(_named(_parsed(raw, schemas.PROPERTY_EVENT), columns, *_audit("property")), "property_address")
+    return _entity(_named(parsed(raw, schemas.PROPERTY_EVENT), columns, *_audit("property")), "property_address")
 
 
 def to_property_unit(raw: DataFrame) -> DataFrame:
     """One row per unit of a property event; times are the property's."""
-    df = _parsed(raw, schemas.PROPERTY_EVENT).withColumn("u", F.explode("property.units"))
+    df = parsed(raw, schemas.PROPERTY_EVENT).withColumn("u", F.explode("property.units"))
     columns = _PROPERTY | {
         "property_status": "property.status",
         "unit_id": "u.unitId",
@@ -93,7 +96,7 @@ def to_property_unit(raw: DataFrame) -> DataFrame:
 
 def to_property_owner(raw: DataFrame) -> DataFrame:
     """One row per owner of a property event; names and contacts are not carried over."""
-    df = _parsed(raw, schemas.PROPERTY_EVENT).withColumn("o", F.explode("property.owners"))
+    df = parsed(raw, schemas.PROPERTY_EVENT).withColumn("o", F.explode("property.owners"))
     columns = _PROPERTY | {
         "property_status": "property.status",
         "owner_info_uuid": "o.ownerInfoUuid",
@@ -110,9 +113,11 @@ def to_property_owner(raw: DataFrame) -> DataFrame:
 
 def to_demand(raw: DataFrame) -> DataFrame:
     """One row per demand event: totals over all tax heads, a column for each known one."""
-    df = _parsed(raw, schemas.DEMAND_EVENT)
-    details = F.col("demand.demandDetails")
-    tax, collected = head_sum(details, "taxAmount"), head_sum(details, "collectionAmount")
+    names = ("taxAmount", "collectionAmount")
+    # The sums are a column of their own, so that each is worked out once for all the columns below.
+    df = parsed(raw, schemas.DEMAND_EVENT).withColumn("_amounts", amounts(F.col("demand.demandDetails"), names))
+    df = df.withColumn("_heads", head_sums(F.col("_amounts"), names)).withColumns({"_tax": total_of(F.col("_heads"), names[0]), "_collected": total_of(F.col("_heads"), names[1])})
+    sums, tax, collected = F.col("_heads"), F.col("_tax"), F.col("_collected")
     columns = {
         "tenant_id": "tenantId",
         "demand_id": "demand.id",
@@ -130,7 +135,7 @@ def to_demand(raw: DataFrame) -> DataFrame:
         "outstanding_amount": tax - collected,
         "is_paid": F.col("demand.isPaymentCompleted").cast("int"),
     }
-    heads = [*pivot_heads(details, schemas.TAX_HEADS, "taxAmount"), *pivot_heads(details, schemas.TAX_HEADS, "collectionAmount", "_collection")]
+    heads = [*pivot_heads(sums, schemas.TAX_HEADS, names[0]), *pivot_heads(sums, schemas.TAX_HEADS, names[1], "_collection")]
     return _entity(_named(df, columns, *heads, *_audit("demand")), "demand")
 
 
@@ -154,17 +159,28 @@ def audit_snapshot(properties: DataFrame, owners: DataFrame, workflow: DataFrame
     return _entity(out.withColumn("audit_created_time", F.current_timestamp()), "property_audit")
 
 
-#: Entity -> (raw event table, job).
+#: Raw event table -> shape of its events and the entities that come from them.
 JOBS = {
-    "property_address": ("property_events_raw", to_property_address),
-    "property_unit": ("property_events_raw", to_property_unit),
-    "property_owner": ("property_events_raw", to_property_owner),
-    "demand": ("demand_events_raw", to_demand),
+    "property_events_raw": (schemas.PROPERTY_EVENT, {"property_address": to_property_address, "property_unit": to_property_unit, "property_owner": to_property_owner}),
+    "demand_events_raw": (schemas.DEMAND_EVENT, {"demand": to_demand}),
 }
 
 
-def run_silver(catalog, raw: dict[str, DataFrame]) -> None:
-    """Appends the versions found in a day's raw events (by raw table) to the entities."""
-    for name, (source, job) in JOBS.items():
+def append_audit(catalog, workflow: DataFrame | None = None) -> None:
+    """Appends a snapshot of all properties to their history."""
+    catalog.upsert("property_audit", audit_snapshot(catalog.versions("property_address"), catalog.versions("property_owner"), workflow))
+
+
+def run_silver(catalog, raw: dict[str, DataFrame], workflow: DataFrame | None = None) -> None:
+    """Appends the versions found in a day's raw events (by raw table) to the entities; after properties, an audit snapshot.
+
+    Events are parsed once for all entities that come from them.
+    """
+    for source, (shape, entities) in JOBS.items():
         if source in raw:
-            catalog.upsert(name, job(raw[source]))
+            events = parsed(raw[source], shape).persist(StorageLevel.MEMORY_AND_DISK)
+            for name, job in entities.items():
+                catalog.upsert(name, job(events))
+            events.unpersist()
+    if "property_events_raw" in raw:
+        append_audit(catalog, workflow)

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.values import millis
-from .plans import backfill, dimensions, marts, silver, views
+from . import schemas
+from .operators.latest import latest_state as latest
+from .plans import backfill, dimensions, marts, refresh, silver, views
 from .sources import sample_tables as sample
+from .sources.catalog import FolderCatalog
 from .sources.events import quarantine, read_events, split_payload
 from .streaming.ingest import ingest
 
@@ -70,6 +74,47 @@ def dim_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensions.latest_labels(sample.tenant_labels(spark, sf_dir)).select("code", "locale", "value")
 
 
+def dimensions_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest labels of all eight dimensions, through the catalog."""
+    cat = sample.catalog(spark, sf_dir)
+    parts = [cat.latest(name).select(F.lit(name).alias("dimension"), "code", "locale", "value") for name in schemas.DIMENSIONS]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _stored(spark: SparkSession) -> FolderCatalog:
+    return FolderCatalog(spark, f"{_shared_dir(spark)}/tables-{uuid.uuid4().hex}")
+
+
+def refreshed_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments are stored, their monthly mart is refreshed twice, and the cumulative view reads the stored mart."""
+    cat = _stored(spark)
+    cat.replace("payment", sample.full(spark, sf_dir, "payment"))
+    for _ in range(2):
+        refresh.refresh_all(cat, ["collections_by_month"])
+    return views.cumulative_collections_by_month(cat)
+
+
+def compacted_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions of demands are appended in two loads, the newer first, then compacted: one row for each demand is stored."""
+    cat, rows = _stored(spark), sample.demand(spark, sf_dir)
+    # Ties in time are settled before, as stored versions have only their arrival.
+    rows = latest(rows, ["tenant_id", "demand_id", "last_modified_time"], ["_tie1", "_tie2", "_tie3"])
+    for late in (True, False):
+        cat.upsert("demand", rows.where((F.month("last_modified_time") > 6) == late))
+    cat.compact("demand")
+    return cat.versions("demand").groupBy("tenant_id").agg(F.count("*").alias("demands"), F.sum("outstanding_amount").cast("decimal(18,4)").alias("outstanding"), F.max("last_modified_time").alias("newest"))
+
+
+def backfill_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The backfill is written by months, some of them twice, and read back."""
+    path = f"{_shared_dir(spark)}/backfill-{uuid.uuid4().hex}"
+    rows = backfill.backfill_demand_details(sample.backfill_details(spark, sf_dir), sample.backfill_headers(spark, sf_dir))
+    backfill.write_backfill(rows, path)
+    backfill.write_backfill(rows.where("month >= '199701'"), path)
+    stored = spark.read.parquet(path)
+    return stored.groupBy(F.col("month").cast("string").alias("month")).agg(F.count("*").alias("details"), F.sum("tax_amount").cast("decimal(18,2)").alias("tax_amount"), F.sum("version").alias("versions"))
+
+
 def localize(spark: SparkSession, sf_dir: str) -> DataFrame:
     cat = sample.catalog(spark, sf_dir)
     df = dimensions.localize(marts.demand_and_collection_summary(cat), cat.versions("dimension_tenant_id"), "tenant_id", "en_IN", "tenant_name")
@@ -77,7 +122,10 @@ def localize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _shared_dir(spark: SparkSession) -> str:
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-shared-")
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return found or tempfile.mkdtemp(prefix="spark-shared-")
 
 
 def raw_ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,6 +184,10 @@ QUERIES |= {
         backfill_demand_details,
         backfill_months,
         dim_latest,
+        dimensions_latest,
+        refreshed_view,
+        compacted_demand,
+        backfill_written,
         localize,
         raw_ingest_counts,
         quarantine_counts,
@@ -149,6 +201,7 @@ def _fy(t: str) -> str:
 
 
 _TENANT = "'T' || c_nationkey"
+_NUMBER = "(c_custkey + CASE WHEN c_custkey % 10 = 0 THEN 1000000000 ELSE 0 END)"
 _LINES = "(SELECT *, l_extendedprice::DECIMAL(12,2) AS price, l_discount::DECIMAL(4,2) AS rate, l_tax::DECIMAL(4,2) AS tax FROM lineitem) JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey"
 _ORDERED = "orders JOIN customer ON o_custkey = c_custkey"
 _NEWEST_LINE = "QUALIFY row_number() OVER (PARTITION BY c_nationkey, l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, price DESC) = 1"
@@ -161,12 +214,11 @@ _CTE = {
         price AS total_tax_amount, (price * (1 - rate))::DECIMAL(12,2) AS total_collection_amount, (price * rate)::DECIMAL(18,4) AS outstanding_amount,
         (-price * rate)::DECIMAL(18,4) AS pt_time_rebate, CASE WHEN l_returnflag = 'R' THEN (-price * tax)::DECIMAL(18,4) ELSE 0::DECIMAL(18,4) END AS pt_adhoc_rebate,
         l_shipdate AS last_modified_time FROM {_LINES} {_NEWEST_LINE}""",
-    "all_properties": f"""SELECT {_TENANT} AS tenant_id, c_custkey::VARCHAR AS property_id, c_mktsegment AS property_type,
+    "all_properties": f"""SELECT {_TENANT} AS tenant_id, {_NUMBER}::VARCHAR AS property_id, c_mktsegment AS property_type,
         CASE WHEN c_acctbal >= 0 THEN 'INDIVIDUAL' ELSE 'INSTITUTIONAL' END AS ownership_category, usage_category, status,
-        {_fy("make_date((1995 + c_custkey % 7)::INT, 6, 15)")} AS financial_year, t AS last_modified_time, c_custkey
+        {_fy("make_date((1995 + c_custkey % 7)::INT, 6, 15)")} AS financial_year, t AS last_modified_time, {_NUMBER} AS number
         FROM customer JOIN (SELECT c_custkey AS k, 'RESIDENTIAL' AS usage_category, 'ACTIVE' AS status, TIMESTAMP '1995-01-01' AS t FROM customer
-          UNION ALL SELECT user_id, upper(event_type), CASE WHEN event_type = 'error' THEN 'INACTIVE' ELSE 'ACTIVE' END, ts FROM events) ON k = c_custkey
-        WHERE c_custkey % 10 != 0""",
+          UNION ALL SELECT user_id, upper(event_type), CASE WHEN event_type = 'error' THEN 'INACTIVE' ELSE 'ACTIVE' END, ts FROM events) ON k = c_custkey""",
     "property_address": "SELECT * FROM all_properties QUALIFY row_number() OVER (PARTITION BY tenant_id, property_id ORDER BY last_modified_time DESC) = 1",
     "property_owner": f"""SELECT {_TENANT} AS tenant_id, c_custkey || '-' || k AS owner_info_uuid, c_custkey::VARCHAR AS property_id, 'U' || (c_custkey % 50) AS user_id,
         CASE WHEN k = 2 AND c_custkey % 30 = 0 THEN 'OTHER' ELSE c_mktsegment END AS property_type
@@ -179,7 +231,7 @@ _CTE = {
         coalesce((event_id % 3 != lag(event_id % 3) OVER w)::INT, 0) AS owners_changed
         FROM (SELECT *, json_extract(props, '$.k')::INT AS k FROM events) JOIN customer ON user_id = c_custkey
         WINDOW w AS (PARTITION BY user_id, event_id % 40 ORDER BY ts, event_id)""",
-    "bill": f"SELECT {_TENANT} AS tenant_id, o_orderkey::VARCHAR AS bill_id, o_custkey::VARCHAR AS consumercode FROM {_ORDERED} WHERE o_orderkey % 17 != 0",
+    "bill": f"SELECT {_TENANT} AS tenant_id, (o_orderkey + CASE WHEN o_orderkey % 17 = 0 THEN 1000000000 ELSE 0 END)::VARCHAR AS bill_id, o_custkey::VARCHAR AS consumercode FROM {_ORDERED}",
     "bill_detail": f"SELECT {_TENANT} AS tenant_id, l_orderkey::VARCHAR AS bill_id, price AS amount_paid, {_fy('l_shipdate')} AS financial_year FROM {_LINES} {_NEWEST_LINE}",
     "payment": f"""SELECT {_TENANT} AS tenant_id, o_orderkey::VARCHAR AS billid, o_orderdate AS transaction_date, o_orderdate + INTERVAL 10 DAY AS created_time,
         {_fy('o_orderdate')} AS financial_year, o_orderpriority AS payment_mode,
@@ -276,18 +328,18 @@ ORACLE_SQL = {
         coalesce(t1.total_amount_collected, 0) AS total_amount_collected, coalesce(t2.total_amount_collected, 0) AS last_year_total_amount, coalesce(t2.total_payments, 0) AS last_year_total_payments
         FROM m t1 FULL JOIN m t2 ON t1.tenant_id = t2.tenant_id AND t1.payment_mode = t2.payment_mode AND t1.property_type = t2.property_type AND t1.s = t2.s + 1""",
     "silver_property_address": _sql(
-        """SELECT tenant_id, property_id, property_type, ownership_category, usage_category, status, financial_year, (c_custkey % 500)::DECIMAL(10,2) AS land_area, 'L' || (c_custkey % 9) AS locality,
+        """SELECT tenant_id, property_id, property_type, ownership_category, usage_category, status, financial_year, (number % 500)::DECIMAL(10,2) AS land_area, 'L' || (number % 9) AS locality,
         'IN' AS country, 30.900965::DECIMAL(9,6) AS latitude, 'me' AS created_by, TIMESTAMP '1995-01-01' AS created_time, date_trunc('millisecond', last_modified_time) AS last_modified_time FROM all_properties""",
         "all_properties",
     ),
     "silver_unit": _sql(
         """SELECT tenant_id, property_id || '-u' || k AS unit_id, property_id, k::TINYINT AS floor_no, usage_category, DATE '2020-02-29' AS occupancy_date, (k * 10 + 0.5)::DECIMAL(10,2) AS carpet_area,
-        (k * 12)::DECIMAL(18,2) AS built_up_area, (c_custkey % 1000 + k)::DECIMAL(12,2) AS arv, 1 AS active, date_trunc('millisecond', last_modified_time) AS last_modified_time
-        FROM all_properties, (SELECT unnest([1, 2, 3]) AS k) WHERE k <= 1 + c_custkey % 3""",
+        (k * 12)::DECIMAL(18,2) AS built_up_area, (number % 1000 + k)::DECIMAL(12,2) AS arv, 1 AS active, date_trunc('millisecond', last_modified_time) AS last_modified_time
+        FROM all_properties, (SELECT unnest([1, 2, 3]) AS k) WHERE k <= 1 + number % 3""",
         "all_properties",
     ),
     "silver_owner": _sql(
-        """SELECT tenant_id, property_id || '-1' AS owner_info_uuid, property_id, 'U' || (c_custkey % 50) AS user_id, (c_custkey % 2 = 0)::INT AS is_primary_owner, '50.0' AS ownership_percentage,
+        """SELECT tenant_id, property_id || '-1' AS owner_info_uuid, property_id, 'U' || (number % 50) AS user_id, (number % 2 = 0)::INT AS is_primary_owner, '50.0' AS ownership_percentage,
         'SPOUSE' AS relationship, status AS property_status, date_trunc('millisecond', last_modified_time) AS last_modified_time FROM all_properties""",
         "all_properties",
     ),
@@ -312,3 +364,10 @@ ORACLE_SQL = {
     "raw_ingest_counts": f"SELECT strftime(l_shipdate, '%Y%m') AS month, count(*) AS events FROM {_LINES} GROUP BY 1",
     "quarantine_counts": "SELECT event_type, sum(CASE event_id % 7 WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 1 END)::BIGINT AS good, sum((event_id % 7 = 0)::INT)::BIGINT AS broken FROM events GROUP BY 1",
 }
+_LABELS = "SELECT DISTINCT '{0}' AS dimension, {2}::VARCHAR AS code, 'en_IN' AS locale, lower({2}::VARCHAR) AS value FROM {1}"
+ORACLE_SQL |= {
+    "dimensions_latest": " UNION ALL ".join([f"SELECT 'dimension_tenant_id' AS dimension, * FROM ({ORACLE_SQL['dim_latest']})", *(_LABELS.format(name, *of) for name, of in sample.CODES.items())]),
+    "refreshed_view": ORACLE_SQL["v1_cumulative_collections_by_month"],
+    "compacted_demand": _sql("SELECT tenant_id, count(*) AS demands, sum(outstanding_amount)::DECIMAL(18,4) AS outstanding, max(last_modified_time) AS newest FROM demand GROUP BY 1", "demand"),
+    "backfill_written": f"SELECT month, count(*) AS details, sum(tax_amount)::DECIMAL(18,2) AS tax_amount, sum(version)::BIGINT AS versions FROM ({ORACLE_SQL['backfill_demand_details']}) GROUP BY 1",
+}

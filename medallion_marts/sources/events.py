@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows that one trigger reads, readers of a topic, and broken messages that are put up with, all defaults.
@@ -25,8 +25,12 @@ def split_payload(df: DataFrame) -> DataFrame:
     return df.where(F.length(text) > 0).withColumn("raw", F.explode(pieces))
 
 
+def is_object(raw: Column) -> Column:
+    """Whether a text is a JSON object."""
+    return F.coalesce(F.schema_of_variant(F.try_parse_json(raw)).startswith("OBJECT"), F.lit(False))
+
+
 def quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows whose raw is a JSON object, the others)."""
-    kind = F.schema_of_variant(F.try_parse_json("raw"))
-    fine = F.coalesce(kind.startswith("OBJECT"), F.lit(False))
+    fine = is_object(F.col("raw"))
     return df.where(fine), df.where(~fine)

@@ -16,12 +16,19 @@ from ..operators.latest import conform
 from .catalog import FrameCatalog
 
 MONEY, RATE = "decimal(12,2)", "decimal(4,2)"
+#: Added to some keys, which then match nothing in other tables.
+STRANGE = 1_000_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """df over all cores: a table of one row group is else one task."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def _tenant() -> Column:
     return F.concat(F.lit("T"), F.col("c_nationkey").cast("string"))
 
@@ -72,10 +79,12 @@ def demand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def property_address(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").where("c_custkey % 10 != 0")
+    c = table(spark, sf_dir, "customer")
+    # One in ten has a number that no other table knows.
+    number = F.when(F.col("c_custkey") % 10 == 0, F.col("c_custkey") + STRANGE).otherwise(F.col("c_custkey"))
     common = [
         _tenant().alias("tenant_id"),
-        _text("c_custkey").alias("property_id"),
+        number.cast("string").alias("property_id"),
         F.col("c_mktsegment").alias("property_type"),
         F.when(F.col("c_acctbal") >= 0, "INDIVIDUAL").otherwise("INSTITUTIONAL").alias("ownership_category"),
     ]
@@ -120,7 +129,8 @@ def property_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ordered(spark, sf_dir).where("o_orderkey % 17 != 0").select(_tenant().alias("tenant_id"), _text("o_orderkey").alias("bill_id"), _text("o_custkey").alias("consumercode"), _time("o_orderdate").alias("last_modified_time"))
+    number = F.when(F.col("o_orderkey") % 17 == 0, F.col("o_orderkey") + STRANGE).otherwise(F.col("o_orderkey"))
+    return _ordered(spark, sf_dir).select(_tenant().alias("tenant_id"), number.cast("string").alias("bill_id"), _text("o_custkey").alias("consumercode"), _time("o_orderdate").alias("last_modified_time"))
 
 
 def bill_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,6 +187,26 @@ def tenant_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.unionByName(n.select(code, F.lit("en_IN").alias("locale"), F.lit("old").alias("value"), old))
 
 
+#: Dimension -> table and column that hold its codes.
+CODES = {
+    "dimension_property_type": ("customer", "c_mktsegment"),
+    "dimension_usage_category": ("events", "event_type"),
+    "dimension_ownership_category": ("orders", "o_orderstatus"),
+    "dimension_payment_mode": ("orders", "o_orderpriority"),
+    "dimension_locality": ("supplier", "s_nationkey"),
+    "dimension_zone": ("region", "r_name"),
+    "dimension_block": ("part", "p_brand"),
+}
+
+
+def code_labels(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A dimension's codes with a label in lower case, older ones below them."""
+    of, column = CODES[name]
+    codes = table(spark, sf_dir, of).select(_text(column).alias("code")).distinct()
+    row = lambda value, day: codes.select("code", F.lit("en_IN").alias("locale"), value.alias("value"), F.to_timestamp(F.lit(day)).alias("created_time"))
+    return row(F.lower("code"), "2024-01-01").unionByName(row(F.lit("old"), "2023-01-01"))
+
+
 def backfill_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ordered(spark, sf_dir).select(
         _tenant().alias("tenant_id"),
@@ -245,7 +275,7 @@ def property_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(F.lit("me").alias("createdBy"), ms("created_time").alias("createdTime"), ms("last_modified_time").alias("lastModifiedTime")).alias("auditDetails"),
         ).alias("property"),
     )
-    return p.select(F.to_json(event).alias("raw"))
+    return _spread(p).select(F.to_json(event).alias("raw"))
 
 
 def demand_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,7 +301,7 @@ def demand_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(F.unix_millis(_time("o_orderdate")).alias("createdTime"), F.unix_millis(_time("l_shipdate")).alias("lastModifiedTime")).alias("auditDetails"),
         ).alias("demand"),
     )
-    return _lines(spark, sf_dir).select(F.to_json(event).alias("raw"))
+    return _spread(_lines(spark, sf_dir)).select(F.to_json(event).alias("raw"))
 
 
 ENTITIES = {f.__name__: f for f in (demand, property_address, property_owner, property_audit, bill, bill_detail, payment, assessment)}
@@ -280,7 +310,8 @@ ENTITIES = {f.__name__: f for f in (demand, property_address, property_owner, pr
 def catalog(spark: SparkSession, sf_dir: str) -> FrameCatalog:
     """All entities. Only the columns that the marts read are there."""
     frames = {name: partial(f, spark, sf_dir) for name, f in ENTITIES.items()}
-    return FrameCatalog(spark, frames | {"dimension_tenant_id": partial(tenant_labels, spark, sf_dir)})
+    labels = {name: partial(code_labels, spark, sf_dir, name) for name in CODES}
+    return FrameCatalog(spark, frames | labels | {"dimension_tenant_id": partial(tenant_labels, spark, sf_dir)})
 
 
 def full(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.fiscal import month_number
-from ..sources.events import MAX_BROKEN, quarantine, split_payload
+from ..sources.events import BLOCK_ROWS, MAX_BROKEN, is_object, split_payload
 
 
 def stamped(df: DataFrame) -> DataFrame:
@@ -19,8 +20,8 @@ def ingest(stream: DataFrame, path: str, checkpoint: str, quarantine_path: str |
     """Starts the ingest: of what is there (`every` is None), or again and again.
 
     Rows are written exactly once: by Spark's file sink, or, with a quarantine, into a folder
-    for each batch that a repeated batch overwrites. A batch with more broken rows than
-    max_broken fails.
+    for each batch that a repeated batch overwrites. A batch fails if a block of BLOCK_ROWS
+    rows that one task read has more broken ones than max_broken.
     """
     rows = split_payload(stream)
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
@@ -28,13 +29,18 @@ def ingest(stream: DataFrame, path: str, checkpoint: str, quarantine_path: str |
         return stamped(rows).writeStream.format("parquet").partitionBy("event_month").option("checkpointLocation", checkpoint).outputMode("append").trigger(**trigger).start(path)
 
     def write(batch: DataFrame, number: int) -> None:
-        good, bad = quarantine(batch)
-        broken = bad.count()
-        if broken > max_broken:
-            raise ValueError(f"batch {number} has {broken} broken messages; {max_broken} are allowed")
-        stamped(good).write.mode("overwrite").partitionBy("event_month").parquet(f"{path}/batch_id={number}")
-        if broken:
-            stamped(bad).write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={number}")
+        # The id's upper bits are the task, the lower 33 the row in it.
+        block = F.floor(F.monotonically_increasing_id() / BLOCK_ROWS)
+        rows = batch.withColumns({"_fine": is_object(F.col("raw")), "_block": block}).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            most = rows.where(~F.col("_fine")).groupBy("_block").count().agg(F.max("count")).first()[0] or 0
+            if most > max_broken:
+                raise ValueError(f"batch {number} has {most} broken messages in a block; {max_broken} are allowed")
+            stamped(rows.where("_fine")).write.mode("overwrite").partitionBy("event_month").parquet(f"{path}/batch_id={number}")
+            if most:
+                stamped(rows.where(~F.col("_fine"))).write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={number}")
+        finally:
+            rows.unpersist()
 
     return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 

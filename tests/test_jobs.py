@@ -97,6 +97,50 @@ def test_stored_entities(spark, tmp_path):
         cat.versions("bill")
 
 
+def test_append_during_compaction_is_kept(spark, tmp_path):
+    """Another job appends after the compaction has read the table and before it is done."""
+    cat, other = FolderCatalog(spark, str(tmp_path)), FolderCatalog(spark, str(tmp_path))
+    load = lambda c, key, at: c.upsert("demand", silver.to_demand(raws(spark, demand(key, [], at))))
+    load(cat, "a", 1000), load(cat, "a", 2000)
+    write = cat._write
+
+    def slow(name, df):
+        folder = write(name, df)
+        load(other, "b", 3000)
+        return folder
+
+    cat._write = slow
+    cat.compact("demand")
+    assert sorted(r.demand_id for r in cat.versions("demand").collect()) == ["a", "b"]
+    number = cat._pointed("demand")[0]
+    pointed = cat._pointed
+    states = iter([(number - 1, pointed("demand")[1][:1])])
+    cat._pointed = lambda name: next(states, None) or pointed(name)  # a job that has not seen the last change
+    cat._write = write
+    load(cat, "c", 4000)
+    assert sorted(r.demand_id for r in other.versions("demand").collect()) == ["a", "b", "c"]
+
+
+def test_audit_is_appended_after_properties(spark, tmp_path):
+    cat = FolderCatalog(spark, str(tmp_path))
+    event = {"tenantId": "T", "property": {"propertyId": "p", "status": "ACTIVE", "owners": [{"ownerInfoUuid": "o1"}, {"ownerInfoUuid": "o2"}], "units": [{"unitId": "u"}], "auditDetails": {"createdTime": 0, "lastModifiedTime": 5}}}
+    workflow = spark.createDataFrame([("T", "p", "OPEN")], "tenant_id string, property_id string, workflow_state string")
+    for _ in range(2):
+        silver.run_silver(cat, {"property_events_raw": raws(spark, event)}, workflow)
+    assert cat.versions("property_unit").count() == 2
+    assert [(r.property_id, r.owner_count, r.workflow_state) for r in cat.versions("property_audit").collect()] == [("p", 2, "OPEN")] * 2
+
+
+def test_broken_budget_is_for_a_block(spark, tmp_path, monkeypatch):
+    from medallion_marts.streaming import ingest as module
+
+    monkeypatch.setattr(module, "BLOCK_ROWS", 4)
+    folder, out, bad, mark = (str(tmp_path / x) for x in ("in", "out", "bad", "mark"))
+    raws(spark, *[x for k in range(6) for x in ("{broken", demand(f"a{k}", []), demand(f"b{k}", []), demand(f"c{k}", []))]).coalesce(1).write.text(folder)
+    ingest(read_events(spark, folder, "text"), out, mark, bad, max_broken=1).awaitTermination()
+    assert spark.read.parquet(out).count() == 18 and spark.read.parquet(bad).count() == 6
+
+
 def test_refresh_is_repeatable(spark, small, tmp_path):
     cat = FolderCatalog(spark, str(tmp_path))
     for name in sample.ENTITIES:
