@@ -25,6 +25,8 @@ from .common import map_batches
 
 #: Entries after which a worker's memory of words or token pairs starts anew.
 MEMO_ENTRIES = 400_000
+#: Beyond every rank.
+NEVER = 1 << 60
 
 
 class Encoder:
@@ -64,33 +66,34 @@ class Encoder:
                 return
             left = self.shorter[left]
 
+    def _edge(self, i: int, side: int) -> list[int]:
+        """The tokens that token i has at its left (0) or right (1) end as it is merged together, from a byte up to itself."""
+        out = [i]
+        while out[-1] in self.halves:
+            out.append(self.halves[out[-1]][side])
+        return out[::-1]
+
     def _pair(self, a: int, b: int) -> bool:
-        """Whether no merge across the border of a and b comes before those inside them.
+        """Whether merging the bytes of a and b by rank leaves just these two.
 
-        Undoes the inner merges from the latest back to the earliest; at each step the two
-        tokens that touch the border must have no merge earlier than the one undone last.
+        Ranks pass from low to high; at any time one token of a's right edge and one of b's left edge
+        meet at the border. A merge across it happens if its rank comes before the next merge on
+        either side. At equal rank the one further left is first.
         """
-        undone = 1 << 60
+        left, right = self._edge(a, 1), self._edge(b, 0)
+        i = j = 0
         while True:
-            across = self.merged.get((a, b))
-            if across is not None and across < undone:
+            next_left = left[i + 1] if i + 1 < len(left) else NEVER
+            next_right = right[j + 1] if j + 1 < len(right) else NEVER
+            across = self.merged.get((left[i], right[j]), NEVER)
+            if across < next_left and across <= next_right:
                 return False
-            if a > b:  # a was made last: a merge across at equal rank would come after it
-                if a not in self.halves:
-                    undone, a_done = a, True
-                else:
-                    undone, a, a_done = a, self.halves[a][1], False
-                if a_done:
-                    if b not in self.halves:
-                        return True
-                    undone, b = b + 1, self.halves[b][0]
+            if next_left == next_right == NEVER:
+                return True
+            if next_left <= next_right:
+                i += 1
             else:
-                if b in self.halves:
-                    undone, b = b + 1, self.halves[b][0]
-                elif a in self.halves:
-                    undone, a = a, self.halves[a][1]
-                else:
-                    return True
+                j += 1
 
     def compatible(self, a: int, b: int) -> bool:
         found = self.memo.get((a, b))

@@ -36,7 +36,7 @@ SAMPLE = 4096
 APART = 0.8
 SHARE = 0.15
 #: A block offers this many candidates at least.
-LEAST = 512
+LEAST = 128
 #: Vectors that save so much of the largest footrule distance are all candidates, however many
 #: they are: in a crowd of almost equal vectors the order of pivots no longer tells them apart.
 SURE = 0.6
