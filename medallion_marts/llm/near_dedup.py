@@ -352,10 +352,9 @@ def _crowded(places: DataFrame, n_places: int, nodes: DataFrame, comps: DataFram
     rows = sized(rows, seen["rows"])
     ids, n_ids = staged_with(rows.select("id").distinct(), "ids")
     sets = staged(_sets_of(docs, ids, n_ids["rows"]), "sets")
-    size = F.length("shingles")
-    rows = rows.join(nodes.select("id", "signature").join(sets, "id"), "id")
-    bytes_of = rows.groupBy("tree", "prefix").agg(F.sum(size).alias("bytes"))
-    rows = rows.join(bytes_of, ["tree", "prefix"])
+    bytes_of = rows.select("tree", "prefix", "id").join(sets.select("id", F.length("shingles").alias("size")), "id").groupBy("tree", "prefix").agg(F.sum("size").alias("bytes"))
+    # There are fewer regions than rows, and with them broadcast no region's sets meet in one task but in its blocks.
+    rows = rows.join(F.broadcast(bytes_of) if seen["rows"] <= BROADCAST_IDS else bytes_of, ["tree", "prefix"]).join(nodes.select("id", "signature").join(sets, "id"), "id")
     # A large set counts for several rows, so that a block is bounded in bytes but for one set.
     blocks = lambda n: F.greatest(F.ceil(n / CELL), F.ceil(F.col("bytes") / CELL_BYTES)).cast("int")
     n_all, n_few = blocks(F.col("n")), F.least(blocks(F.col("n") - F.col("most")), F.greatest(F.lit(1), (F.col("n") - F.col("most")).cast("int")))
