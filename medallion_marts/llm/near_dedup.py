@@ -44,7 +44,7 @@ TREES, STRIDE, DEPTH = 25, 5, 40
 MIN_DEPTH, CROWD_DEPTH = 4, 6
 #: Neighbours looked at after each document in each order.
 REACH = 6
-#: Most similar candidates of each document that are confirmed first.
+#: Most similar candidates before each document (by id) that are confirmed first.
 FIRST = 2
 #: Standard deviations below the threshold at which signatures still count as agreeing, and at which places in view do.
 SLACK, VIEW_SLACK = 4.2, 2.5
@@ -389,9 +389,8 @@ def near_copies(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text
     pairs = sized(pairs, seen["rows"])
     places, n_places = staged_with(found.where("a IS NULL").select("tree", "label", F.col("b").alias("id")), "places")
 
-    ends = pairs.select("a", "b", "agree", F.explode(F.array("a", "b")).alias("of"))
-    nearest = ends.withColumn("k", F.row_number().over(Window.partitionBy("of").orderBy(F.desc("agree"), "a", "b"))).where(f"k <= {FIRST}")
-    first, n_first = staged_with(nearest.select("a", "b").distinct(), "first")
+    nearest = pairs.withColumn("k", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("agree"), "a"))).where(f"k <= {FIRST}")
+    first, n_first = staged_with(nearest.select("a", "b"), "first")
     first = sized(first, n_first["rows"])
     links, n_links = staged_with(_confirmed(first, n_first["rows"], rows, percent), "links")
     links = sized(links, n_links["rows"])
