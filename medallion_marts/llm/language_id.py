@@ -3,8 +3,12 @@
 For each language a byte context tree of order 0 to 3 is counted from a bounded sample of
 labelled documents. With these counts frozen, the code length of a byte is that of the
 longest known context in which the byte has been seen, plus the escapes from the longer
-ones (method C: as many escapes as distinct successors). All code lengths are worked out
-once, so a text is scored by one table lookup for each byte and language.
+ones (method C: as many escapes as distinct successors). As a sum over a text, code lengths
+are linear in how often each string of 1 to 4 bytes occurs: as a context a string adds its
+escape, as context and byte it takes back the escape and what shorter contexts would cost.
+Trees are stored so, sparsely: a string has weights only for the languages that know it. All
+byte values, contexts and languages are kept; a text is looked up once, however many languages
+there are.
 
 Defined results: `und` with score 0 for a null text or one without a letter, and for every
 text if nothing was learned; equal code lengths go to the alphabetically first language;
@@ -23,101 +27,140 @@ from pyspark.sql import functions as F
 from .common import give_back, id_remainder, map_batches
 
 ORDER = 3
-#: About so many documents of each language are learned from, chosen by a hash of their id.
+#: About so many documents of each language are learned from, chosen by a hash of their id, and so
+#: many in all: with more than 40 languages each has fewer. This bounds the model.
 SAMPLE_PER_LANGUAGE = 1500
-#: Languages learned, the most frequent first, and contexts kept, likewise: they bound the model.
-MAX_LANGUAGES = 200
-MAX_CONTEXTS = 20_000
-#: Code lengths in the model at most, over contexts, codes and languages: with more languages, fewer contexts.
-MAX_CELLS = 1 << 24
-#: Codes for byte values; the rest share code 0, which costs 8 bits at order -1 like any other.
-MAX_CODES = 120
+SAMPLE = 60_000
+#: Bytes of a text whose strings are held at once.
+SLAB = 1 << 20
 UNDETERMINED = "und"
 
 
+class Strings:
+    """Numbers of byte strings of one length, by open addressing; -1 for others."""
+
+    def __init__(self, values: np.ndarray):
+        self.shift = np.uint32(32 - max(4, int(2 * len(values)).bit_length()))
+        self.value, self.number = (np.zeros(1 << (32 - int(self.shift)), t) for t in (np.uint32, np.int32))
+        self.number.fill(-1)
+        values = values.astype(np.uint32)
+        left, slot = np.arange(len(values)), self._slot(values)
+        while len(left):
+            free = self.number[slot] < 0
+            self.number[slot[free]] = left[free]  # of several the last stays
+            placed = self.number[slot] == left
+            self.value[slot[placed]] = values[left[placed]]
+            left, slot = left[~placed], (slot[~placed] + 1) & (len(self.number) - 1)
+
+    def _slot(self, values: np.ndarray) -> np.ndarray:
+        return ((values * np.uint32(2654435761)) >> self.shift).astype(np.int64)
+
+    def find(self, values: np.ndarray) -> np.ndarray:
+        slot = self._slot(values)
+        found = self.number[slot]
+        left = np.flatnonzero((found >= 0) & (self.value[slot] != values))
+        slot = slot[left]
+        while len(left):
+            slot = (slot + 1) & (len(self.number) - 1)
+            found[left] = self.number[slot]
+            on = (found[left] >= 0) & (self.value[slot] != values[left])
+            left, slot = left[on], slot[on]
+        return found
+
+
+@dataclass
+class Trees:
+    """Weights of the strings of one length: those of string k are entries starts[k] to starts[k + 1]."""
+
+    strings: Strings
+    starts: np.ndarray
+    language: np.ndarray
+    as_context: np.ndarray  # bits of the escape
+    in_text: np.ndarray  # those, and the bits by which context and byte differ from escape and shorter context
+
+    def add(self, total: np.ndarray, values: np.ndarray, times: np.ndarray, weights: np.ndarray) -> None:
+        found = self.strings.find(values)
+        known = found >= 0
+        found, times = found[known], times[known]
+        first, n = self.starts[found], self.starts[found + 1] - self.starts[found]
+        at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        total += np.bincount(self.language[at], weights=weights[at] * np.repeat(times, n), minlength=len(total))
+
+
 @dataclass
 class Model:
     languages: list[str]
-    code: np.ndarray  # byte -> code
-    n_codes: int
-    row: np.ndarray  # the last ORDER codes as one number -> row of cost
-    cost: np.ndarray  # (row * n_codes + code, language) -> bits
+    escape: np.ndarray  # language -> bits of the escape from the empty context
+    trees: list[Trees]  # for strings of 1 to ORDER + 1 bytes
 
     def bits(self, text: bytes) -> np.ndarray:
-        codes = np.zeros(len(text) + ORDER, np.int32)
-        codes[ORDER:] = self.code[np.frombuffer(text, np.uint8)]
-        context = codes[: -ORDER].copy()
-        for k in range(1, ORDER):
-            context *= self.n_codes
-            context += codes[k : k - ORDER]
-        at = self.row[context]
-        at *= self.n_codes
-        at += codes[ORDER:]
-        total = np.zeros(len(self.languages))
-        for start in range(0, len(at), 1 << 20):
-            total += self.cost[at[start : start + (1 << 20)]].sum(axis=0, dtype=np.float64)
+        padded = np.zeros(len(text) + ORDER, np.uint32)
+        padded[ORDER:] = np.frombuffer(text, np.uint8)
+        total = (8 + self.escape) * len(text)
+        for start in range(0, len(text), SLAB):
+            part = padded[start : start + SLAB + ORDER]
+            grams = part[:-ORDER].copy()
+            for k in range(1, ORDER + 1):
+                grams = grams << np.uint32(8) | part[k : k - ORDER or None]
+            grams, times = np.unique(grams, return_counts=True)
+            for length, tree in enumerate(self.trees, 1):
+                tree.add(total, grams & np.uint32((1 << 8 * length) - 1), times, tree.in_text)
+        if text:  # the last string is no context, and the padding is one
+            last = int.from_bytes((b"\0" * ORDER + text)[-ORDER:], "big")
+            for length, tree in enumerate(self.trees[:-1], 1):
+                ends = np.array([0, last & ((1 << 8 * length) - 1)], np.uint32)
+                tree.add(total, ends, np.array([1.0, -1.0]), tree.as_context)
         return total
 
 
-def build(grams: np.ndarray, language: np.ndarray, counts: np.ndarray, languages: list[str], max_contexts: int = MAX_CONTEXTS) -> Model:
+def build(grams: np.ndarray, language: np.ndarray, counts: np.ndarray, languages: list[str]) -> Model:
     """grams: (n, ORDER + 1) bytes, of which the last follows the others."""
-    used = np.bincount(grams[:, -1], weights=counts, minlength=256)
-    kept = np.argsort(-used, kind="stable")[: min(MAX_CODES, int((used > 0).sum()))]
-    code = np.zeros(256, np.int32)
-    code[kept] = np.arange(1, len(kept) + 1)
-    s, n_lang = len(kept) + 1, len(languages)
-    max_contexts = min(max_contexts, MAX_CELLS // (s * n_lang))
-    coded = code[grams]
-    contexts: list[tuple[int, np.ndarray]] = []  # (order, context numbers), shortest first
-    for order in range(ORDER + 1):
-        number = np.zeros(len(coded), np.int64)
-        for k in range(ORDER - order, ORDER):
-            number = number * s + coded[:, k]
-        contexts.append((order, number))
-    row = np.zeros(s**ORDER, np.int32)
-    found: list[np.ndarray] = []  # the known contexts of each order
-    for order, number in contexts:
-        weight = np.bincount(number, weights=counts, minlength=s**order)
-        known = np.flatnonzero(weight)
-        room = max_contexts - sum(map(len, found))
-        if order:  # a context is kept only if the shorter one is
-            known = known[np.isin(known % (s ** (order - 1)), found[-1])]
-        if order > 1 and len(known) > room:
-            known = np.sort(known[np.argsort(-weight[known], kind="stable")[: max(0, room)]])
-        found.append(known)
-    p = np.empty((sum(map(len, found)), s, n_lang), np.float32)
-    offset, shorter_row = 0, None
-    for (order, number), known in zip(contexts, found):
-        index = np.full(s**order, -1, np.int32)
-        index[known] = offset + np.arange(len(known), dtype=np.int32)
-        of = index[number]
-        by_row = np.argsort(of, kind="stable")
-        sorted_rows = of[by_row]
-        for start in range(0, len(known), 1024):  # a part at a time, to bound the driver's memory
-            some = known[start : start + 1024]
-            first = offset + start
-            some_grams = by_row[np.searchsorted(sorted_rows, first) : np.searchsorted(sorted_rows, first + len(some))]
-            seen = np.zeros((len(some), s, n_lang), np.float32)
-            np.add.at(seen, (of[some_grams] - first, coded[some_grams, -1], language[some_grams]), counts[some_grams])
-            lower = p[shorter_row[some % (s ** (order - 1))]] if order else np.float32(1 / 256)
-            total, distinct = seen.sum(axis=1, keepdims=True), (seen > 0).sum(axis=1, keepdims=True)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                escaped = np.where(seen > 0, seen, distinct * lower) / (total + distinct)
-            p[first : first + len(some)] = np.where(total > 0, escaped, lower)
-        shorter_row = index
-        row.reshape(-1, s**order)[:, known] = index[known]
-        offset += len(known)
-    np.log2(p, out=p)
-    np.negative(p, out=p)
-    return Model(languages, code, s, row, p.reshape(-1, n_lang))
+    whole = np.zeros(len(grams), np.int64)
+    for k in range(ORDER + 1):
+        whole = whole << 8 | grams[:, k]
+    of = language.astype(np.int64) << 32
+    escape, trees = np.zeros(len(languages)), []
+    shorter, shorter_bits = np.arange(len(languages)) << 32, np.full(len(languages), 8.0)
+    for length in range(1, ORDER + 2):
+        # A key is a language and a string; contexts are the strings without their last byte.
+        keys, at = np.unique(of | whole & ((1 << 8 * length) - 1), return_inverse=True)
+        n = np.bincount(at, weights=counts, minlength=len(keys))
+        tongue, string = keys >> 32, keys & ((1 << 32) - 1)
+        contexts, context = np.unique(tongue << 32 | string >> 8, return_inverse=True)
+        total = np.bincount(context, weights=n, minlength=len(contexts))
+        distinct = np.bincount(context, minlength=len(contexts))
+        escapes = np.log2(total + distinct) - np.log2(distinct)
+        bits = np.log2(total + distinct)[context] - np.log2(n)
+        lower = tongue << 32 | (string & ((1 << 8 * (length - 1)) - 1))
+        as_byte = bits - escapes[context] - shorter_bits[np.searchsorted(shorter, lower)]
+        if length == 1:
+            escape[contexts >> 32] = escapes
+        else:
+            trees.append(_tree(shorter, shorter_as_byte, contexts, escapes))
+        shorter, shorter_bits, shorter_as_byte = keys, bits, as_byte
+    trees.append(_tree(shorter, shorter_as_byte, np.zeros(0, np.int64), np.zeros(0)))
+    return Model(languages, escape, trees)
+
+
+def _tree(seen: np.ndarray, as_byte: np.ndarray, contexts: np.ndarray, escapes: np.ndarray) -> Trees:
+    keys = np.union1d(seen, contexts)
+    as_context, in_text = np.zeros(len(keys)), np.zeros(len(keys))
+    as_context[np.searchsorted(keys, contexts)] = escapes
+    in_text[np.searchsorted(keys, seen)] = as_byte
+    in_text += as_context
+    order = np.argsort(keys & ((1 << 32) - 1), kind="stable")
+    strings, n = np.unique(keys & ((1 << 32) - 1), return_counts=True)
+    starts = np.concatenate([[0], np.cumsum(n)])
+    return Trees(Strings(strings), starts, (keys >> 32)[order].astype(np.int32), as_context[order], in_text[order])
 
 
 def learn(docs: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
     """A model of the labelled rows of docs; None if there are none."""
     labelled = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang")).where("_text IS NOT NULL AND _lang IS NOT NULL")
-    sizes = labelled.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(MAX_LANGUAGES).collect()
+    sizes = labelled.groupBy("_lang").count().collect()
     if not sizes:
         return None
+    sample_per_language = min(sample_per_language, SAMPLE / len(sizes))
     share = F.create_map(*[F.lit(x) for r in sizes for x in (r["_lang"], min(1.0, sample_per_language / r["count"]))])
     langs = sorted(r["_lang"] for r in sizes)
     number = F.create_map(*[F.lit(x) for k, lang in enumerate(langs) for x in (lang, k)])

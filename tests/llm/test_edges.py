@@ -317,6 +317,23 @@ def test_ppm_code_lengths():
         assert m.bits(sample)[0] == pytest.approx(-sum(np.log2(p(q[k : k + 3], sample[k])) for k in range(len(sample))), rel=1e-4)
 
 
+def test_ppm_many_languages_and_long_texts(monkeypatch):
+    """Each of many languages has the code lengths that it has alone, also over slabs and for bytes of all values."""
+    rng = np.random.default_rng(3)
+    texts = [bytes(rng.integers(k, 256, 300, dtype=np.uint8)) for k in range(250)]
+    grams = np.concatenate([np.lib.stride_tricks.sliding_window_view(np.frombuffer(b"\0\0\0" + t, np.uint8), 4) for t in texts])
+    of = np.repeat(np.arange(250), 300)
+    together = language_id.build(grams, of, np.ones(len(grams)), [f"l{k:03}" for k in range(250)])
+    text = texts[0] + texts[200] * 3 + b"\xff"
+    bits = together.bits(text)
+    for k in (0, 7, 200, 249):
+        alone = language_id.build(grams[of == k], np.zeros(300, int), np.ones(300), ["x"])
+        assert alone.bits(text)[0] == pytest.approx(bits[k], rel=1e-9)
+        assert int(np.argmin(together.bits(texts[k]))) == k
+    monkeypatch.setattr(language_id, "SLAB", 7)
+    assert together.bits(text) == pytest.approx(bits, rel=1e-9) and together.bits(b"") == pytest.approx(0)
+
+
 def test_toxicity(spark, odd, none, docs_of):
     no_labels = spark.createDataFrame([], LABELS)
     assert toxicity.assess(none, no_labels).count() == 0
