@@ -29,7 +29,8 @@ from .common import id_remainder, map_batches
 WIDTH, FILTERS, BLOCK, LAGS = 6, 16, 128, 24
 #: About so many documents of each label are learned from, chosen by a hash of their id.
 SAMPLE_PER_LABEL = 1200
-#: Longer documents are not learned from (they are scored, whole); this bounds the sample in bytes.
+#: Of longer documents a passage of so many characters is learned from, at a place chosen by a hash of
+#: the id (they are scored whole); this bounds the sample in bytes.
 MAX_LEARNED_CHARS = 20_000
 EPOCHS, BATCH, RATE = 6, 32, 0.01
 #: Bytes whose responses are held at once.
@@ -188,7 +189,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample_per_label: int = SAMPLE_PER
         return None
     share = F.when(F.col("quality") == 1, min(1.0, sample_per_label / sizes.get(1, 1))).otherwise(min(1.0, sample_per_label / sizes.get(0, 1)))
     chosen = given.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20))
-    rows = docs.where(F.length(F.coalesce("text", F.lit(""))) <= MAX_LEARNED_CHARS).select("doc_id", "text").join(F.broadcast(chosen), "doc_id").toArrow().to_pylist()
+    places = F.greatest(F.length("text") - MAX_LEARNED_CHARS, F.lit(0)) + 1
+    passage = F.substring("text", F.pmod(F.xxhash64("doc_id", F.lit("place")), places).cast("int") + 1, F.lit(MAX_LEARNED_CHARS))
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", passage.alias("text")).toArrow().to_pylist()
     rows.sort(key=lambda r: (r["doc_id"], r["quality"], r["text"] or ""))
     if not rows:
         return None
