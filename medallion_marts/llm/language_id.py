@@ -37,7 +37,10 @@ UNDETERMINED = "und"
 
 
 class Strings:
-    """Numbers of byte strings of one length, by open addressing; -1 for others."""
+    """Numbers of byte strings of one length, by open addressing; -1 for others.
+
+    A string is a number whose highest byte is its last, so that sorted strings have their endings sorted, too.
+    """
 
     def __init__(self, values: np.ndarray):
         self.shift = np.uint32(32 - max(4, int(2 * len(values)).bit_length()))
@@ -101,14 +104,17 @@ class Model:
             part = padded[start : start + SLAB + ORDER]
             grams = part[:-ORDER].copy()
             for k in range(1, ORDER + 1):
-                grams = grams << np.uint32(8) | part[k : k - ORDER or None]
+                grams |= part[k : k - ORDER or None] << np.uint32(8 * k)
             grams, times = np.unique(grams, return_counts=True)
-            for length, tree in enumerate(self.trees, 1):
-                tree.add(total, grams & np.uint32((1 << 8 * length) - 1), times, tree.in_text)
+            for tree in reversed(self.trees):
+                tree.add(total, grams, times, tree.in_text)
+                grams = grams >> np.uint32(8)
+                first = np.flatnonzero(np.diff(grams, prepend=~grams[:1]))
+                grams, times = grams[first], np.add.reduceat(times, first)
         if text:  # the last string is no context, and the padding is one
-            last = int.from_bytes((b"\0" * ORDER + text)[-ORDER:], "big")
+            last = int.from_bytes((b"\0" * ORDER + text)[-ORDER:], "little")
             for length, tree in enumerate(self.trees[:-1], 1):
-                ends = np.array([0, last & ((1 << 8 * length) - 1)], np.uint32)
+                ends = np.array([0, last >> 8 * (ORDER - length)], np.uint32)
                 tree.add(total, ends, np.array([1.0, -1.0]), tree.as_context)
         return total
 
@@ -117,21 +123,21 @@ def build(grams: np.ndarray, language: np.ndarray, counts: np.ndarray, languages
     """grams: (n, ORDER + 1) bytes, of which the last follows the others."""
     whole = np.zeros(len(grams), np.int64)
     for k in range(ORDER + 1):
-        whole = whole << 8 | grams[:, k]
+        whole |= grams[:, k].astype(np.int64) << 8 * k
     of = language.astype(np.int64) << 32
     escape, trees = np.zeros(len(languages)), []
     shorter, shorter_bits = np.arange(len(languages)) << 32, np.full(len(languages), 8.0)
     for length in range(1, ORDER + 2):
         # A key is a language and a string; contexts are the strings without their last byte.
-        keys, at = np.unique(of | whole & ((1 << 8 * length) - 1), return_inverse=True)
+        keys, at = np.unique(of | whole >> 8 * (ORDER + 1 - length), return_inverse=True)
         n = np.bincount(at, weights=counts, minlength=len(keys))
         tongue, string = keys >> 32, keys & ((1 << 32) - 1)
-        contexts, context = np.unique(tongue << 32 | string >> 8, return_inverse=True)
+        contexts, context = np.unique(tongue << 32 | string & ((1 << 8 * (length - 1)) - 1), return_inverse=True)
         total = np.bincount(context, weights=n, minlength=len(contexts))
         distinct = np.bincount(context, minlength=len(contexts))
         escapes = np.log2(total + distinct) - np.log2(distinct)
         bits = np.log2(total + distinct)[context] - np.log2(n)
-        lower = tongue << 32 | (string & ((1 << 8 * (length - 1)) - 1))
+        lower = tongue << 32 | string >> 8
         as_byte = bits - escapes[context] - shorter_bits[np.searchsorted(shorter, lower)]
         if length == 1:
             escape[contexts >> 32] = escapes
