@@ -428,11 +428,14 @@ def test_quality(spark, odd, none, docs_of):
     assert got[1] > 0.5 > got[2] and got[3] == got[4]
 
 
-def test_convolution_and_gradient():
-    long = docs_of([(i, (prose(i, 60) if i % 2 else prose(i, 60).replace(" ", "%%% ")) * 100) for i in range(30)] + [(40, None), (41, "")])
-    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(30)], LABELS)
+def test_quality_learns_from_long_texts(spark, docs_of):
+    long = docs_of([(i, (prose(i, 60) if i % 2 else prose(i, 60).replace(" ", "%%% ")) * 100) for i in range(120)] + [(200, None), (201, "")])
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(120)], LABELS)
     of_long = {r.doc_id: r.score for r in quality.score(long, quality.learn(long, labels)).collect()}
-    assert min(of_long[i] for i in range(1, 30, 2)) > 0.5 > max(of_long[i] for i in range(0, 30, 2))
+    assert min(of_long[i] for i in range(1, 120, 2)) > 0.5 > max(of_long[i] for i in range(0, 120, 2))
+
+
+def test_convolution_and_gradient():
     model = quality.train([prose(k, 40).encode() for k in range(6)] + [b"x" * 300] * 6, np.array([1.0] * 6 + [0.0] * 6), epochs=2)
     text = prose(3, 90)
     b = quality.padded(text.encode())
