@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, context_mixing, exact_dedup, language_id, licence_scan, near_dedup, packing, permutation_index, quality, toxicity
+from . import bpe, collocations, context_mixing, conversation_repair, exact_dedup, language_id, licence_scan, near_dedup, packing, permutation_index, quality, token_counts, toxicity
 from .common import read_table
 
 
@@ -56,6 +57,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation_repair.damaged(read_table(spark, sf_dir, "conversations"))
+    return conversation_repair.summarise(conversation_repair.repair(rows, gone=F.col("gone")))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_lm_score": op1_lm_score,
     "op2_nearest_vectors": op2_nearest_vectors,
@@ -67,5 +81,8 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_language_id": op9_language_id,
     "op10_packing": op10_packing,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_token_counts": op12_token_counts,
+    "op13_collocations": op13_collocations,
 }
-ORACLE_SQL = {"op5_near_dedup": near_dedup.ORACLE_SQL, "op8_exact_dedup": exact_dedup.ORACLE_SQL}
+ORACLE_SQL = {"op5_near_dedup": near_dedup.ORACLE_SQL, "op8_exact_dedup": exact_dedup.ORACLE_SQL, "op13_collocations": collocations.ORACLE_SQL}

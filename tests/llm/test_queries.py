@@ -194,3 +194,15 @@ def test_pipeline(spark, small):
             assert set(after) == {root(i) for i in sets}
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, small)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == set(after)
+
+
+def test_op12(spark, small, documents):
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    got = {r.doc_id: tuple(r) for r in QUERIES["op12_token_counts"](spark, small).collect()}
+    assert set(got) == {i for i, _ in documents}
+    for i, text in documents:
+        n = len(t.encode(text or "", add_special_tokens=False).ids)
+        assert got[i] == (i, len((text or "").encode()), n, n > 1024)
