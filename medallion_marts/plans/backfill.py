@@ -13,17 +13,17 @@ HEADER = ["consumer_code", "consumer_type", "business_service", "payer", "tax_pe
 DETAIL = ["event_time", *KEYS, "demand_detail_id", "tax_head_code", "tax_amount", "collection_amount", "created_by", "created_time", "last_modified_by", "last_modified_time"]
 
 
-def months_with_data(details: DataFrame) -> DataFrame:
+def months_with_data(details: DataFrame, zone: str | None = None) -> DataFrame:
     """(month) like 202404, of the details' modification."""
-    return details.select(month_number(F.col("last_modified_time")).alias("month")).distinct()
+    return details.select(month_number(F.col("last_modified_time"), zone).alias("month")).distinct()
 
 
-def backfill_demand_details(details: DataFrame, headers: DataFrame, months: list[str] | None = None) -> DataFrame:
+def backfill_demand_details(details: DataFrame, headers: DataFrame, months: list[str] | None = None, zone: str | None = None) -> DataFrame:
     """Details of the given months, or of all, with their demand's attributes and the greater version.
 
     A header is taken whole from its newest row; its version is the greatest of all its rows.
     """
-    month = month_number(F.col("last_modified_time"))
+    month = month_number(F.col("last_modified_time"), zone)
     d = details.where(month.isin(months)) if months is not None else details
     newest = latest_state(headers, KEYS, ["last_modified_time", "version"])
     greatest = headers.groupBy(*KEYS).agg(F.max("version").alias("header_version"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.fiscal import fiscal_year, year_month
+from ..functions.fiscal import day_of, fiscal_year, year_month
 from ..functions.values import count_where, sum_where
 from ..operators.joins import default_join
 from ..operators.latest import conform
@@ -54,7 +54,7 @@ def demand_and_collection_summary(cat) -> DataFrame:
 def collections_by_month(cat) -> DataFrame:
     """By the fiscal year of the transaction, not the stored one, and the month of creation."""
     df = cat.latest("payment").where(F.col("businessservice") == PROPERTY_TAX)
-    df = df.select("tenant_id", fiscal_year(F.col("transaction_date")).alias("fy"), year_month(F.col("created_time")).alias("year_month"), "payment_status", "total_amount_paid")
+    df = df.select("tenant_id", fiscal_year(F.col("transaction_date"), zone=cat.zone).alias("fy"), year_month(F.col("created_time"), cat.zone).alias("year_month"), "payment_status", "total_amount_paid")
     df = df.groupBy("tenant_id", "fy", "year_month", "payment_status").agg(F.count("*").alias("total_payments"), F.sum("total_amount_paid").alias("total_collected_amount"))
     return _mart("collections_by_month", df.withColumnRenamed("fy", "financial_year"))
 
@@ -97,7 +97,7 @@ def property_risk_summary(cat) -> DataFrame:
 
 
 def property_changes_by_fy(cat) -> DataFrame:
-    df = cat.mart("property_change_metrics").withColumn("financial_year", fiscal_year(F.col("audit_created_time")))
+    df = cat.mart("property_change_metrics").withColumn("financial_year", fiscal_year(F.col("audit_created_time"), zone=cat.zone))
     return _mart("property_changes_by_fy", _change_sums(df.groupBy("tenant_id", "property_type", "financial_year")))
 
 
@@ -140,7 +140,7 @@ def assessment_summary_by_fy(cat) -> DataFrame:
 def payment_summary_by_fy(cat) -> DataFrame:
     """Payments by the fiscal year of the transaction; a payment below what is due is a part payment."""
     p = cat.latest("payment").where(F.col("businessservice") == PROPERTY_TAX)
-    p = p.select("tenant_id", F.col("billid").alias("bill_id"), fiscal_year(F.col("transaction_date")).alias("financial_year"), "payment_mode", "total_amount_paid", "total_due")
+    p = p.select("tenant_id", F.col("billid").alias("bill_id"), fiscal_year(F.col("transaction_date"), zone=cat.zone).alias("financial_year"), "payment_mode", "total_amount_paid", "total_due")
     bills = cat.latest("bill").select("tenant_id", "bill_id", F.col("consumercode").alias("property_id"))
     types = cat.latest("property_address").select("tenant_id", "property_id", "property_type")
     joined = default_join(default_join(p, bills, ["tenant_id", "bill_id"]), types, ["tenant_id", "property_id"])
@@ -169,7 +169,7 @@ def rebate_summary_by_fy(cat, strict: bool = False) -> DataFrame:
 
 
 def daily_collection_summary(cat) -> DataFrame:
-    p = cat.latest("payment").where(F.col("businessservice") == PROPERTY_TAX).withColumn("collection_date", F.to_date("created_time"))
+    p = cat.latest("payment").where(F.col("businessservice") == PROPERTY_TAX).withColumn("collection_date", day_of(F.col("created_time"), cat.zone))
     return _mart("daily_collection_summary", p.groupBy("tenant_id", "payment_status", "collection_date").agg(F.sum("total_amount_paid").alias("total_amount")))
 
 

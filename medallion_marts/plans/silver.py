@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.fiscal import fiscal_year
+from ..functions.fiscal import fiscal_year, midnight
 from ..functions.values import amounts, head_sums, millis, pivot_heads, total_of
 from ..operators.latest import conform, latest_state
 
@@ -140,9 +140,9 @@ def to_demand(raw: DataFrame) -> DataFrame:
     return _entity(_named(df, columns, *heads, *_audit("demand")), "demand")
 
 
-def to_bill_detail(rows: DataFrame) -> DataFrame:
+def to_bill_detail(rows: DataFrame, zone: str | None = None) -> DataFrame:
     """Bill details with the fiscal year of their period's start."""
-    return _entity(rows.withColumn("financial_year", fiscal_year(millis(F.col("from_period")))), "bill_detail")
+    return _entity(rows.withColumn("financial_year", fiscal_year(millis(F.col("from_period")), zone=zone)), "bill_detail")
 
 
 def audit_snapshot(properties: DataFrame, owners: DataFrame, workflow: DataFrame | None = None) -> DataFrame:
@@ -152,12 +152,16 @@ def audit_snapshot(properties: DataFrame, owners: DataFrame, workflow: DataFrame
     """
     p, o = schemas.ENTITIES["property_address"], schemas.ENTITIES["property_owner"]
     tie = lambda df: ["_ingested_at"] if "_ingested_at" in df.columns else []
-    newest = latest_state(properties, p.keys, p.version, tie(properties))
-    counts = latest_state(owners, o.keys, o.version, tie(owners)).groupBy("tenant_id", "property_id").agg(F.count("*").cast("int").alias("owner_count"))
+    return snapshot_of(latest_state(properties, p.keys, p.version, tie(properties)), latest_state(owners, o.keys, o.version, tie(owners)), workflow)
+
+
+def snapshot_of(newest: DataFrame, owners: DataFrame, workflow: DataFrame | None = None, at: Column | None = None) -> DataFrame:
+    """`audit_snapshot` of newest states, taken at a time (now, if none is given)."""
+    counts = owners.groupBy("tenant_id", "property_id").agg(F.count("*").cast("int").alias("owner_count"))
     out = newest.withColumnRenamed("status", "property_status").join(counts, ["tenant_id", "property_id"], "left")
     if workflow is not None:
         out = out.join(workflow, ["tenant_id", "property_id"], "left")
-    return _entity(out.withColumn("audit_created_time", F.current_timestamp()), "property_audit")
+    return _entity(out.drop("_ingested_at").withColumns({"audit_created_time": F.current_timestamp() if at is None else at, "_ingested_at": F.current_timestamp()}), "property_audit")
 
 
 #: Raw event table -> shape of its events and the entities that come from them.
@@ -167,21 +171,32 @@ JOBS = {
 }
 
 
-def append_audit(catalog, workflow: DataFrame | None = None) -> None:
-    """Appends a snapshot of all properties to their history."""
-    catalog.upsert("property_audit", audit_snapshot(catalog.versions("property_address"), catalog.versions("property_owner"), workflow))
+def append_audit(catalog, workflow: DataFrame | None = None, day: str | None = None) -> None:
+    """Appends a snapshot of all properties to their history.
+
+    With a day: the snapshot of the midnight after it, of what loads up to that day have brought, in
+    place of that day's snapshot if there is one.
+    """
+    if day is None:
+        newest, at = catalog.latest, None
+    else:
+        newest, at = (lambda name: catalog.latest_by(name, day)), midnight(day, catalog.zone, 1)
+    catalog.upsert("property_audit", snapshot_of(newest("property_address"), newest("property_owner"), workflow, at), day)
 
 
-def run_silver(catalog, raw: dict[str, DataFrame], workflow: DataFrame | None = None) -> None:
+def run_silver(catalog, raw: dict[str, DataFrame], workflow: DataFrame | None = None, day: str | None = None) -> None:
     """Appends the versions found in a day's raw events (by raw table) to the entities; after properties, an audit snapshot.
 
-    Events are parsed once for all entities that come from them.
+    Events are parsed once for all entities that come from them. With a day (yyyy-MM-dd) the run is a
+    load of that name: running it again replaces what it brought before.
     """
     for source, (shape, entities) in JOBS.items():
         if source in raw:
             events = parsed(raw[source], shape).persist(StorageLevel.MEMORY_AND_DISK)
-            for name, job in entities.items():
-                catalog.upsert(name, job(events))
-            events.unpersist()
+            try:
+                for name, job in entities.items():
+                    catalog.upsert(name, job(events), day)
+            finally:
+                events.unpersist()
     if "property_events_raw" in raw:
-        append_audit(catalog, workflow)
+        append_audit(catalog, workflow, day)

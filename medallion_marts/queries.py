@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.values import millis
@@ -14,8 +14,8 @@ from . import schemas
 from .operators.latest import latest_state as latest
 from .plans import backfill, dimensions, marts, refresh, silver, views
 from .sources import sample_tables as sample
-from .sources.catalog import FolderCatalog
 from .sources.events import quarantine, read_events, split_payload
+from .sources.tables import TableCatalog
 from .streaming.ingest import ingest
 
 #: The sample tables' fiscal years are those of the nineties.
@@ -81,24 +81,102 @@ def dimensions_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _stored(spark: SparkSession) -> FolderCatalog:
-    return FolderCatalog(spark, f"{_shared_dir(spark)}/tables-{uuid.uuid4().hex}")
+def _stored(spark: SparkSession) -> TableCatalog:
+    """A database in the shared folder, whose files go when Spark's JVM ends."""
+    name = f"tables_{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{_shared_dir(spark)}/{name}")
+    cat = TableCatalog(spark, name, path.toString())
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return cat
+
+
+def _versions(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """An entity's versions. Ties in time are settled before, as stored versions have only their arrival."""
+    rows, spec = sample.ENTITIES[name](spark, sf_dir), schemas.ENTITIES[name]
+    ties = [c for c in rows.columns if c.startswith("_tie")]
+    if spec.version is None:
+        return rows.withColumn("_ingested_at", F.timestamp_micros(ties[0]))
+    return latest(rows, [*spec.keys, spec.version], ties) if ties else rows
+
+
+def _load_all(cat: TableCatalog, sf_dir: str, names) -> TableCatalog:
+    for name in names:
+        cat.upsert(name, _versions(cat.spark, sf_dir, name))
+    return cat
 
 
 def refreshed_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments are stored, their monthly mart is refreshed twice, and the cumulative view reads the stored mart."""
-    cat = _stored(spark)
-    cat.replace("payment", sample.full(spark, sf_dir, "payment"))
+    cat = _load_all(_stored(spark), sf_dir, ["payment"])
     for _ in range(2):
         refresh.refresh_all(cat, ["collections_by_month"])
     return views.cumulative_collections_by_month(cat)
 
 
+#: Mart -> a number of it that is summed up to compare whole refreshes.
+MEASURED = {
+    "active_property_distribution_summary": "property_count",
+    "new_properties_by_fy": "new_property_count",
+    "demand_and_collection_summary": "total_outstanding",
+    "collections_by_month": "total_collected_amount",
+    "properties_with_demand_by_fy": "properties_with_demand",
+    "defaulters": "outstanding_amount",
+    "property_change_metrics": "area_changed",
+    "property_risk_summary": "total_updates",
+    "property_changes_by_fy": "usage_category_changes",
+    "property_demand_vs_assessed_by_fy": "total_properties_with_demand_no_assessment",
+    "assessment_summary_by_fy": "assessments_by_owner",
+    "payment_summary_by_fy": "total_amount_collected_in_part_payments",
+    "rebate_summary_by_fy": "total_rebate_amount",
+    "daily_collection_summary": "total_amount",
+    "property_payment_mode_by_fy": "total_payments",
+    "collection_by_transaction_fy_and_demand_fy": "total_amount_paid",
+}
+
+
+def refreshed_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All entities are stored and all sixteen marts refreshed from their newest states; rows and a sum of each stored mart."""
+    cat = _load_all(_stored(spark), sf_dir, sample.ENTITIES)
+    refresh.refresh_all(cat)
+    parts = [cat.mart(name).agg(F.count("*").alias("rows"), F.sum(F.col(c).cast("decimal(28,4)")).cast("decimal(38,4)").alias("total")).select(F.lit(name).alias("mart"), "rows", "total") for name, c in MEASURED.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def marts_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL over two stored marts and a stored view, by their names."""
+    cat = _load_all(_stored(spark), sf_dir, ["demand", "assessment", "payment", "bill", "property_address"])
+    refresh.refresh_all(cat, ["demand_and_collection_summary", "properties_with_demand_by_fy", "property_demand_vs_assessed_by_fy", "collections_by_month", "payment_summary_by_fy"])
+    refresh.create_views(cat, MIN_FY_START)
+    return spark.sql(f"""
+        SELECT d.tenant_id, d.financial_year, d.total_outstanding, c.total_properties_with_demand, v.arrears_outstanding
+        FROM {cat.name('mart_demand_and_collection_summary')} d JOIN {cat.name('mart_property_demand_vs_assessed_by_fy')} c USING (tenant_id, financial_year)
+        JOIN {cat.name('v_demand_collection_with_arrears')} v USING (tenant_id, financial_year)""")
+
+
+#: Nights of `repeated_nights`, in the order in which they run: the second and the third twice.
+NIGHTS = ("1999-03-30", "1999-03-31", "1999-04-01")
+NIGHTS_RUN = (0, 1, 2, 2, 1)
+
+
+def _night(changed: Column) -> Column:
+    """The night that brings a version of a property: first states in the first one, later ones by the half of the year, whatever the year."""
+    return F.when(changed <= F.to_timestamp(F.lit("1995-01-01")), 0).when(F.month(changed) <= 6, 1).otherwise(2)
+
+
+def repeated_nights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three nights of property events, versions out of order, two of them run again; then the changes between audit snapshots."""
+    cat = _stored(spark)
+    events = sample.property_events(spark, sf_dir)
+    changed = millis(F.get_json_object("raw", "$.property.auditDetails.lastModifiedTime").cast("bigint"))
+    for k in NIGHTS_RUN:
+        silver.run_silver(cat, {"property_events_raw": events.where(_night(changed) == k)}, day=NIGHTS[k])
+    refresh.refresh_all(cat, ["property_change_metrics", "property_risk_summary", "property_changes_by_fy"])
+    return cat.mart("property_changes_by_fy").drop("data_refresh_date")
+
+
 def compacted_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versions of demands are appended in two loads, the newer first, then compacted: one row for each demand is stored."""
-    cat, rows = _stored(spark), sample.demand(spark, sf_dir)
-    # Ties in time are settled before, as stored versions have only their arrival.
-    rows = latest(rows, ["tenant_id", "demand_id", "last_modified_time"], ["_tie1", "_tie2", "_tie3"])
+    cat, rows = _stored(spark), _versions(spark, sf_dir, "demand")
     for late in (True, False):
         cat.upsert("demand", rows.where((F.month("last_modified_time") > 6) == late))
     cat.compact("demand")
@@ -186,6 +264,9 @@ QUERIES |= {
         dim_latest,
         dimensions_latest,
         refreshed_view,
+        refreshed_marts,
+        marts_by_name,
+        repeated_nights,
         compacted_demand,
         backfill_written,
         localize,
@@ -371,3 +452,24 @@ ORACLE_SQL |= {
     "compacted_demand": _sql("SELECT tenant_id, count(*) AS demands, sum(outstanding_amount)::DECIMAL(18,4) AS outstanding, max(last_modified_time) AS newest FROM demand GROUP BY 1", "demand"),
     "backfill_written": f"SELECT month, count(*) AS details, sum(tax_amount)::DECIMAL(18,2) AS tax_amount, sum(version)::BIGINT AS versions FROM ({ORACLE_SQL['backfill_demand_details']}) GROUP BY 1",
 }
+ORACLE_SQL |= {
+    "refreshed_marts": " UNION ALL ".join(
+        f"SELECT '{mart}' AS mart, count(*) AS rows, sum({column}::DECIMAL(28,4))::DECIMAL(38,4) AS total FROM ({ORACLE_SQL[key]})"
+        for (key, function, _), (mart, column) in zip(_MART_KEYS, MEASURED.items())
+        if function.__name__ == mart
+    ),
+    "marts_by_name": f"""SELECT d.tenant_id, d.financial_year, d.total_outstanding, c.total_properties_with_demand, v.arrears_outstanding
+        FROM ({ORACLE_SQL['m03_demand_and_collection_summary']}) d JOIN ({ORACLE_SQL['m10_property_demand_vs_assessed_by_fy']}) c USING (tenant_id, financial_year)
+        JOIN ({ORACLE_SQL['v2_demand_collection_with_arrears']}) v USING (tenant_id, financial_year)""",
+    # A snapshot after each night of the newest states so far, then the changes from one to the next.
+    "repeated_nights": _sql(
+        f"""SELECT tenant_id, property_type, {_fy("taken")} AS financial_year, sum(changed)::BIGINT AS total_updates, 0::BIGINT AS ownership_changes, 0::BIGINT AS area_changes, 0::BIGINT AS workflow_reopens,
+        sum(changed)::BIGINT AS usage_category_changes, 0::BIGINT AS owner_count_changed FROM (
+          SELECT *, coalesce((usage_category != lag(usage_category) OVER (PARTITION BY tenant_id, property_id ORDER BY night))::INT, 0) AS changed FROM (
+            SELECT night, taken, tenant_id, property_id, property_type, usage_category FROM all_properties,
+              (VALUES (0, TIMESTAMP '1999-03-31'), (1, TIMESTAMP '1999-04-01'), (2, TIMESTAMP '1999-04-02')) n(night, taken)
+            WHERE CASE WHEN last_modified_time <= TIMESTAMP '1995-01-01' THEN 0 WHEN month(last_modified_time) <= 6 THEN 1 ELSE 2 END <= night
+            QUALIFY row_number() OVER (PARTITION BY night, tenant_id, property_id ORDER BY last_modified_time DESC) = 1)) GROUP BY 1, 2, 3""",
+        "all_properties",
+    ),
+}

@@ -1,15 +1,13 @@
-"""Where tables come from: Parquet folders under one root, or given frames."""
+"""Where tables come from. Given frames here; stored tables are in `tables`."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators.latest import conform, latest_state
+from ..operators.latest import latest_state
 
 
 def table_spec(name: str) -> schemas.Table:
@@ -23,10 +21,14 @@ def table_spec(name: str) -> schemas.Table:
 
 
 class Catalog:
-    """Tables by name. `versions` has all stored rows, `latest` one for each key."""
+    """Tables by name. `versions` has all stored rows, `latest` one for each key.
 
-    def __init__(self, spark: SparkSession):
+    Days, months and fiscal years are those of `zone`; without one, of the session.
+    """
+
+    def __init__(self, spark: SparkSession, zone: str | None = None):
         self.spark = spark
+        self.zone = zone
 
     def versions(self, name: str) -> DataFrame:
         raise NotImplementedError
@@ -46,106 +48,10 @@ class Catalog:
 class FrameCatalog(Catalog):
     """Given frames, or functions that make them."""
 
-    def __init__(self, spark: SparkSession, frames: dict[str, DataFrame | Callable[[], DataFrame]]):
-        super().__init__(spark)
+    def __init__(self, spark: SparkSession, frames: dict[str, DataFrame | Callable[[], DataFrame]], zone: str | None = None):
+        super().__init__(spark, zone)
         self.frames = frames
 
     def versions(self, name: str) -> DataFrame:
         frame = self.frames[name]
         return frame() if callable(frame) else frame
-
-
-class FolderCatalog(Catalog):
-    """Parquet folders below `root`. A table is the folders that its newest pointer lists.
-
-    Pointers are small numbered files, written last and once: a reader sees the old state or the
-    new one, and a job that fails half-way changes nothing. A job that finds its number taken looks
-    at what the other one did and tries again, so appends that meet a replacement are not lost.
-    """
-
-    def __init__(self, spark: SparkSession, root: str):
-        super().__init__(spark)
-        self.root = root.rstrip("/")
-
-    def _fs(self, path: str):
-        jpath = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()), jpath
-
-    def _pointed(self, name: str) -> tuple[int, list[str]]:
-        """The number of the newest pointer, -1 without any, and the folders that it lists."""
-        fs, folder = self._fs(f"{self.root}/{name}")
-        pointers = sorted(f.getPath().getName() for f in fs.listStatus(folder) if f.getPath().getName().startswith("pointer-")) if fs.exists(folder) else []
-        if not pointers:
-            return -1, []
-        fs, path = self._fs(f"{self.root}/{name}/{pointers[-1]}")
-        stream = fs.open(path)
-        try:
-            return int(pointers[-1].split("-")[1]), self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").split()
-        finally:
-            stream.close()
-
-    def _point(self, name: str, change: Callable[[list[str]], list[str]]) -> None:
-        """Writes the next pointer, to what change makes of the folders listed so far."""
-        for _ in range(100):
-            number, folders = self._pointed(name)
-            fs, temporary = self._fs(f"{self.root}/{name}/.{uuid.uuid4().hex}")
-            out = fs.create(temporary, True)
-            out.write(bytearray("\n".join(change(folders)).encode()))
-            out.close()
-            _, pointer = self._fs(f"{self.root}/{name}/pointer-{number + 1:010d}")
-            if not fs.exists(pointer) and fs.rename(temporary, pointer):
-                return
-            fs.delete(temporary, False)
-        raise RuntimeError(f"{name} is being changed by other jobs all the time")
-
-    def exists(self, name: str) -> bool:
-        return self._pointed(name)[0] >= 0
-
-    def _read(self, name: str, folders: list[str]) -> DataFrame:
-        reader = self.spark.read
-        if name in schemas.ENTITIES or name in schemas.DIMENSIONS:
-            reader = reader.schema(table_spec(name).schema)
-        return reader.parquet(*[f"{self.root}/{name}/{f}" for f in folders])
-
-    def versions(self, name: str) -> DataFrame:
-        number, folders = self._pointed(name)
-        if number < 0:
-            raise KeyError(f"there is no table {name} below {self.root}")
-        return self._read(name, folders)
-
-    def mart(self, name: str) -> DataFrame:
-        return self.versions(name) if self.exists(name) else super().mart(name)
-
-    def _write(self, name: str, df: DataFrame) -> str:
-        folder = f"v-{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.root}/{name}/{folder}")
-        return folder
-
-    def replace(self, name: str, df: DataFrame) -> None:
-        """Writes df as the whole table; it may read the table itself."""
-        folder = self._write(name, df)
-        self._point(name, lambda _: [folder])
-
-    def upsert(self, name: str, df: DataFrame) -> None:
-        """Appends versions; the newest wins when read."""
-        spec = table_spec(name)
-        folder = self._write(name, conform(df.withColumn("_ingested_at", F.current_timestamp()) if "_ingested_at" in spec.schema.names else df, spec.schema, spec.defaults))
-        self._point(name, lambda folders: [*folders, folder])
-
-    def compact(self, name: str) -> None:
-        """Keeps the newest version of each key only, sorted within files for min/max pruning.
-
-        What others append meanwhile stays listed beside the compacted folder.
-        """
-        spec, (_, old) = table_spec(name), self._pointed(name)
-        ties = [c for c in spec.schema.names if c == "_ingested_at"]
-        folder = self._write(name, latest_state(self._read(name, old), spec.keys, spec.version, ties).sortWithinPartitions(*spec.keys))
-        self._point(name, lambda folders: [folder, *(f for f in folders if f not in old)])
-
-    def counts_report(self, names: list[str]) -> DataFrame:
-        """(table_name, rows) of stored tables."""
-        parts = [self.versions(n).agg(F.count("*").alias("rows")).select(F.lit(n).alias("table_name"), "rows") for n in names]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out

@@ -1,6 +1,7 @@
 """Events to entities, streams, stored tables and refreshes."""
 
 import json
+import uuid
 from decimal import Decimal as D
 
 import pytest
@@ -8,11 +9,25 @@ from pyspark.sql import functions as F
 
 from medallion_marts.plans import marts, refresh, silver
 from medallion_marts.sources import sample_tables as sample
-from medallion_marts.sources.catalog import FolderCatalog
+from medallion_marts.sources.tables import TableCatalog
 from medallion_marts.sources.events import quarantine, read_events, split_payload
 from medallion_marts.streaming.ingest import ingest, raw_window
 
 
+@pytest.fixture
+def stored(spark, tmp_path):
+    """stored(...) makes a catalog on a database of its own."""
+    made = []
+
+    def make(**params):
+        made.append(f"db_{uuid.uuid4().hex}")
+        return TableCatalog(spark, made[-1], str(tmp_path / made[-1]), **params)
+
+    yield make
+    for name in made:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
 def raws(spark, *documents):
     return spark.createDataFrame([(d if isinstance(d, str) else json.dumps(d),) for d in documents], "raw string")
 
@@ -81,8 +96,8 @@ def test_stream_quarantine(spark, tmp_path):
         ingest(read_events(spark, folder, "text"), out + "2", mark + "2", bad + "2", max_broken=0).awaitTermination()
 
 
-def test_stored_entities(spark, tmp_path):
-    cat = FolderCatalog(spark, str(tmp_path))
+def test_stored_entities(spark, stored):
+    cat = stored()
     for at, status in ((1, "ACTIVE"), (3, "CLOSED"), (2, "ACTIVE")):
         event = demand("a", [head("PT_TAX", "5")], at * 1000)
         event["demand"]["status"] = status
@@ -97,32 +112,20 @@ def test_stored_entities(spark, tmp_path):
         cat.versions("bill")
 
 
-def test_append_during_compaction_is_kept(spark, tmp_path):
-    """Another job appends after the compaction has read the table and before it is done."""
-    cat, other = FolderCatalog(spark, str(tmp_path)), FolderCatalog(spark, str(tmp_path))
-    load = lambda c, key, at: c.upsert("demand", silver.to_demand(raws(spark, demand(key, [], at))))
-    load(cat, "a", 1000), load(cat, "a", 2000)
-    write = cat._write
+def test_compaction_is_seen_at_once(spark, stored):
+    """A frame made before reads the old versions, one made after the compacted ones; loads go on."""
+    cat = stored()
+    load = lambda key, at: cat.upsert("demand", silver.to_demand(raws(spark, demand(key, [], at))))
+    load("a", 1000), load("a", 2000)
+    before = cat.versions("demand")
+    cat.compact("demand")
+    assert before.count() == 2 and cat.versions("demand").count() == 1
+    load("b", 3000)
+    assert sorted(r.demand_id for r in cat.versions("demand").collect()) == sorted(r.demand_id for r in cat.latest("demand").collect()) == ["a", "b"]
 
-    def slow(name, df):
-        folder = write(name, df)
-        load(other, "b", 3000)
-        return folder
 
-    cat._write = slow
-    cat.compact("demand")
-    assert sorted(r.demand_id for r in cat.versions("demand").collect()) == ["a", "b"]
-    number = cat._pointed("demand")[0]
-    pointed = cat._pointed
-    states = iter([(number - 1, pointed("demand")[1][:1])])
-    cat._pointed = lambda name: next(states, None) or pointed(name)  # a job that has not seen the last change
-    cat._write = write
-    load(cat, "c", 4000)
-    assert sorted(r.demand_id for r in other.versions("demand").collect()) == ["a", "b", "c"]
-
-
-def test_audit_is_appended_after_properties(spark, tmp_path):
-    cat = FolderCatalog(spark, str(tmp_path))
+def test_audit_is_appended_after_properties(spark, stored):
+    cat = stored()
     event = {"tenantId": "T", "property": {"propertyId": "p", "status": "ACTIVE", "owners": [{"ownerInfoUuid": "o1"}, {"ownerInfoUuid": "o2"}], "units": [{"unitId": "u"}], "auditDetails": {"createdTime": 0, "lastModifiedTime": 5}}}
     workflow = spark.createDataFrame([("T", "p", "OPEN")], "tenant_id string, property_id string, workflow_state string")
     for _ in range(2):
@@ -141,10 +144,10 @@ def test_broken_budget_is_for_a_block(spark, tmp_path, monkeypatch):
     assert spark.read.parquet(out).count() == 18 and spark.read.parquet(bad).count() == 6
 
 
-def test_refresh_is_repeatable(spark, small, tmp_path):
-    cat = FolderCatalog(spark, str(tmp_path))
+def test_refresh_is_repeatable(spark, small, stored):
+    cat = stored()
     for name in sample.ENTITIES:
-        cat.replace(name, sample.full(spark, small, name))
+        cat.upsert(name, sample.full(spark, small, name))
     names = ["property_change_metrics", "property_risk_summary", "demand_and_collection_summary"]
     for _ in range(2):
         assert refresh.refresh_all(cat, names) == ["demand_and_collection_summary", "property_change_metrics", "property_risk_summary"]
