@@ -24,6 +24,18 @@ def latest_state(df: DataFrame, keys: Iterable[str], version: str | Iterable[str
     return ranked.where("_rank = 1").drop("_rank")
 
 
+def latest_by_max(df: DataFrame, keys: Iterable[str], version: str | Iterable[str], tie_break: Iterable[str] = ()) -> DataFrame:
+    """`latest_state` as an aggregate: the row with the greatest version, combined before the shuffle.
+
+    Whole rows in aggregation buffers make Spark sort before and after the shuffle; `bench.py` times
+    both forms. A null version counts as less than any other, as it does there.
+    """
+    keys, version = list(keys), [version] if isinstance(version, str) else list(version)
+    rest = [c for c in df.columns if c not in keys]
+    best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*version, *tie_break)).alias("_best"))
+    return best.select(*[F.col(c) if c in keys else F.col(f"_best.`{c}`") for c in df.columns])
+
+
 def conform(df: DataFrame, schema: StructType, defaults: dict | None = None) -> DataFrame:
     """Columns by name, cast to the schema; missing columns and nulls become defaults."""
     there, defaults = set(df.columns), defaults or {}

@@ -33,5 +33,10 @@ def backfill_demand_details(details: DataFrame, headers: DataFrame, months: list
 
 
 def write_backfill(rows: DataFrame, path: str) -> None:
-    """Replaces the months that rows hold and leaves the others: a repeated run changes nothing."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
+    """Replaces the months that rows hold and leaves the others: a repeated run changes nothing.
+
+    Rows are dealt by month before, large months to several tasks, and sorted by time within files:
+    files a month do not grow with the tasks before, and row groups hold short spans of time.
+    """
+    by_month = rows.hint("rebalance", "month").sortWithinPartitions("month", "last_modified_time")
+    by_month.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)

@@ -11,15 +11,9 @@ from ..functions.values import count_where, sum_where
 from ..operators.joins import default_join
 from ..operators.latest import conform
 from ..operators.windows import change_flags
+from .silver import FLAGS
 
 PROPERTY_TAX = "PT"
-FLAGS = {
-    "ownership_category_changed": ["ownership_category"],
-    "usage_category_changed": ["usage_category"],
-    "area_changed": ["super_built_up_area", "land_area"],
-    "workflow_state_changed": ["workflow_state"],
-    "owners_changed": ["owner_count"],
-}
 
 
 def _mart(name: str, df: DataFrame) -> DataFrame:
@@ -71,7 +65,9 @@ def defaulters(cat) -> DataFrame:
 
 
 def property_change_metrics(cat) -> DataFrame:
-    """What changed from a property's audit snapshot to the next."""
+    """What changed from a property's audit snapshot to the next; as stored, if nights have stored it."""
+    if (stored := cat.change_metrics()) is not None:
+        return _mart("property_change_metrics", stored)
     audit = cat.versions("property_audit")
     ties = [c for c in audit.columns if c == "_ingested_at" or c.startswith("_tie")]
     return _mart("property_change_metrics", change_flags(audit, ["tenant_id", "property_id"], ["audit_created_time", *ties], FLAGS))

@@ -10,6 +10,17 @@ from .. import schemas
 from ..functions.fiscal import fiscal_year, midnight
 from ..functions.values import amounts, head_sums, millis, pivot_heads, total_of
 from ..operators.latest import conform, latest_state
+from ..operators.windows import change_flags
+
+
+#: Change flags of audit snapshots, and the columns that each looks at.
+FLAGS = {
+    "ownership_category_changed": ["ownership_category"],
+    "usage_category_changed": ["usage_category"],
+    "area_changed": ["super_built_up_area", "land_area"],
+    "workflow_state_changed": ["workflow_state"],
+    "owners_changed": ["owner_count"],
+}
 
 
 def parsed(raw: DataFrame, shape: str) -> DataFrame:
@@ -182,6 +193,24 @@ def append_audit(catalog, workflow: DataFrame | None = None, day: str | None = N
     else:
         newest, at = (lambda name: catalog.latest_by(name, day)), midnight(day, catalog.zone, 1)
     catalog.upsert("property_audit", snapshot_of(newest("property_address"), newest("property_owner"), workflow, at), day)
+    if day is not None:
+        advance_changes(catalog, day)
+
+
+def advance_changes(catalog, load: str) -> None:
+    """Stores what changed with a load of audit snapshots.
+
+    Each property's last snapshot is carried from night to night, so only the new load goes through
+    the window. A load that is run again, or that comes out of order, is worked out with all after it.
+    """
+    before, snapshots, newest = catalog.changes_before(load)
+    both = before.withColumn("load", F.lit(None).cast("string")).unionByName(snapshots)
+    flags = change_flags(both, ["tenant_id", "property_id"], ["audit_created_time", "_ingested_at"], FLAGS)
+    catalog.put_changes(flags.where(F.col("load").isNotNull()))
+    if newest:
+        catalog.keep_newest("property_audit_last", snapshots.drop("load"))
+    else:
+        catalog.keep_newest("property_audit_last", catalog.versions("property_audit"), anew=True)
 
 
 def run_silver(catalog, raw: dict[str, DataFrame], workflow: DataFrame | None = None, day: str | None = None) -> None:

@@ -111,6 +111,8 @@ ENTITIES: dict[str, Table] = {
     ),
 }
 
+#: Each property's last audit snapshot, which the next night's is compared with.
+LAST_AUDIT = Table(ENTITIES["property_audit"].columns, ("tenant_id", "property_id"), "audit_created_time")
 RAW = Table(f"event_time {TIME}, raw string", version=None)
 DIMENSION = Table(f"code string, locale string, value string, created_time {TIME}", ("locale", "code"), "created_time")
 DIMENSIONS = tuple(f"dimension_{n}" for n in ("tenant_id", "property_type", "usage_category", "ownership_category", "payment_mode", "locality", "zone", "block"))

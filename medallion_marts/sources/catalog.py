@@ -13,6 +13,8 @@ from ..operators.latest import latest_state
 def table_spec(name: str) -> schemas.Table:
     if name in schemas.ENTITIES:
         return schemas.ENTITIES[name]
+    if name == "property_audit_last":
+        return schemas.LAST_AUDIT
     if name in schemas.DIMENSIONS:
         return schemas.DIMENSION
     if name in schemas.MARTS:
@@ -39,6 +41,10 @@ class Catalog:
 
         return MARTS[name](self)
 
+    def change_metrics(self) -> DataFrame | None:
+        """What changed between audit snapshots, if it is stored for all of them."""
+        return None
+
     def latest(self, name: str) -> DataFrame:
         spec, df = table_spec(name), self.versions(name)
         ties = [c for c in df.columns if c == "_ingested_at" or c.startswith("_tie")]

@@ -36,6 +36,8 @@ BUCKETED_BY = {
     "bill_detail": ("tenant_id", "bill_id"),
     "assessment": ("tenant_id", "propertyid"),
 }
+#: The stored rows of `change_metrics`, in a partition for each load of snapshots.
+CHANGES = "property_change_history"
 
 
 def _quoted(text: str) -> str:
@@ -91,7 +93,12 @@ class TableCatalog(Catalog):
             table = self._new(versions)
             self._create_versions(name, table)
             self._repoint(versions, table)
-        if spec.version and not self.exists(name):
+        if spec.version:
+            self._create_newest(name)
+
+    def _create_newest(self, name: str) -> None:
+        spec = table_spec(name)
+        if not self.exists(name):
             by = ", ".join(BUCKETED_BY.get(name, spec.keys))
             self.spark.sql(
                 f"CREATE TABLE {self.name(name)} ({_columns(spec.schema)}, slice int) USING parquet OPTIONS (partitionOverwriteMode 'dynamic') "
@@ -163,7 +170,14 @@ class TableCatalog(Catalog):
             for k in touched - self._touched(rows):
                 self.spark.sql(f"ALTER TABLE {self.name(name)} DROP IF EXISTS PARTITION (slice = {k})")
             self._write_newest(name, latest_state(rows, keys, spec.version, ties))
-        elif not self._partitions(name):
+        else:
+            self._merge(name, incoming, touched)
+
+    def _merge(self, name: str, incoming: DataFrame, touched: set[int]) -> None:
+        """Puts the newest rows of a load (with `slice`) into the newest state, where they are not older than what is stored."""
+        spec = table_spec(name)
+        keys, ties = list(spec.keys), [c for c in ("_ingested_at",) if c in spec.schema.names]
+        if not self._partitions(name):
             self._write_newest(name, incoming)
         elif touched:
             stored = self.spark.table(self.name(name)).where(F.col("slice").isin(*touched))
@@ -171,6 +185,15 @@ class TableCatalog(Catalog):
             newer = incoming.join(stored.select(*keys, age.alias("_stored")), keys, "left").where(F.col("_stored").isNull() | (age >= F.col("_stored"))).drop("_stored")
             self._write_newest(name, stored.join(newer.select(*keys), keys, "left_anti").unionByName(newer))
 
+    def keep_newest(self, name: str, rows: DataFrame, anew: bool = False) -> None:
+        """Brings a table that has a newest state only up to date with rows, or makes it of them."""
+        spec = table_spec(name)
+        self._create_newest(name)
+        incoming = latest_state(rows, spec.keys, spec.version, ["_ingested_at"]).withColumn("slice", self._slice(name))
+        if anew:
+            self.spark.sql(f"TRUNCATE TABLE {self.name(name)}")
+        self._merge(name, incoming, self._touched(rows.withColumn("slice", self._slice(name))))
+
     def _write_newest(self, name: str, rows: DataFrame) -> None:
         """Overwrites the slices of rows. Each task writes one bucket."""
         spec = table_spec(name)
@@ -185,6 +208,36 @@ class TableCatalog(Catalog):
         self._insert_load(name, self.latest(name), table, f"{time.time_ns():020d}")
         self._repoint(versions, table)
 
+    # Changes between audit snapshots
+
+    def change_metrics(self) -> DataFrame | None:
+        if not self.exists(CHANGES):
+            return None
+        stored, there = (self.spark.sql(f"SHOW PARTITIONS {self.name(t)}") for t in (CHANGES, self._behind("property_audit_versions")))
+        return None if there.exceptAll(stored).take(1) else self.spark.table(self.name(CHANGES)).drop("load")
+
+    def changes_before(self, load: str) -> tuple[DataFrame, DataFrame, bool]:
+        """(each property's last snapshot before a load, the snapshots from it on, whether it is the last load).
+
+        If all loads before it, and none after, are stored as changes already, last snapshots are read
+        from their own table, and of the history only the load itself; else the history is read.
+        """
+        history = self.loads("property_audit")
+        known = {r[0] for r in self.spark.sql(f"SHOW PARTITIONS {self.name(CHANGES)}").collect()} if self.exists(CHANGES) else set()
+        there = {r[0] for r in self.spark.sql(f"SHOW PARTITIONS {self.name(self._behind('property_audit_versions'))}").collect()}
+        mine = f"load={load}"
+        if there and max(there) == mine and known and known == there - {mine}:
+            return self.latest("property_audit_last"), history.where(F.col("load") == load), True
+        spec = schemas.LAST_AUDIT
+        before = latest_state(history.where(F.col("load") < load).drop("load"), spec.keys, spec.version, ["_ingested_at"])
+        return before, history.where(F.col("load") >= load), False
+
+    def put_changes(self, changes: DataFrame) -> None:
+        """Stores changes (with `load`) in place of those of the same loads."""
+        if not self.exists(CHANGES):
+            self.spark.sql(f"CREATE TABLE {self.name(CHANGES)} ({schemas.MARTS['property_change_metrics']}, load string) USING parquet OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY (load)")
+        changes.select(*schemas.mart_schema("property_change_metrics").names, "load").write.mode("overwrite").insertInto(f"{self.database}.{CHANGES}")
+
     # Marts
 
     def mart(self, name: str) -> DataFrame:

@@ -12,7 +12,7 @@ from medallion_marts import schemas
 from medallion_marts.functions.fiscal import fiscal_start, fiscal_year, next_fiscal_label
 from medallion_marts.functions.values import sum_where
 from medallion_marts.operators.joins import default_join
-from medallion_marts.operators.latest import conform, latest_state
+from medallion_marts.operators.latest import conform, latest_by_max, latest_state
 from medallion_marts.operators.windows import arrears, change_flags, prior_period, running_totals
 from medallion_marts.plans import backfill, dimensions, marts, views
 from medallion_marts.sources.catalog import FrameCatalog
@@ -30,8 +30,8 @@ def test_latest_before_filter_and_ties(spark):
     df = spark.createDataFrame([("a", 1, "ACTIVE", 1), ("a", 2, "INACTIVE", 1), ("b", 5, "OLD", 1), ("b", 5, "ACTIVE", 2), ("c", None, "ACTIVE", 1)], "k string, v int, status string, at int")
     newest = latest_state(df, ["k"], "v", ["at"])
     assert rows(newest.where("status = 'ACTIVE'"), "k") == [("b",), ("c",)]
-    by_max = df.groupBy("k").agg(F.max_by("status", F.struct("v", "at")).alias("status"))
-    assert rows(newest, "k", "status") == rows(by_max, "k", "status")
+    by_max = latest_by_max(df, ["k"], "v", ["at"])
+    assert by_max.columns == df.columns and rows(newest) == rows(by_max)
 
 
 def test_latest_prunes_before_the_shuffle(spark):

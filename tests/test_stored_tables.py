@@ -242,3 +242,66 @@ def test_a_zone_holds_in_every_session(spark):
     assert found[0] == found[1] == found[2]
     assert found[0][0] == [("1969-70", "1970-01", 8), ("2023-24", "2024-01", 4), ("2023-24", "2024-03", 1), ("2024-25", "2024-04", 2)]
     assert found[0][1] == [("1970-01-01", 8), ("2024-01-01", 4), ("2024-03-31", 1), ("2024-04-01", 2)]
+
+
+def history(cat):
+    """M7 worked out over the whole history."""
+    audit = cat.versions("property_audit")
+    return marts.property_change_metrics(FrameCatalog(cat.spark, {"property_audit": audit}))
+
+
+def test_changes_are_carried_from_night_to_night(spark, cat):
+    """What nights store is M7 over the whole history, in order, out of order and run again."""
+    rng = random.Random(3)
+
+    def run(day):
+        rows = [(f"p{rng.randrange(12)}", rng.choice("ab"), rng.choice("xy"), rng.randrange(3), datetime.fromisoformat(day) + timedelta(hours=h)) for h in range(10)]
+        frame = spark.createDataFrame([("T", *r) for r in rows], "tenant_id string, property_id string, ownership_category string, usage_category string, owner_count int, audit_created_time timestamp")
+        cat.upsert("property_audit", frame, day)
+        silver.advance_changes(cat, day)
+
+    for day in ("2024-01-02", "2024-01-03", "2024-01-05", "2024-01-04", "2024-01-01", "2024-01-06", "2024-01-03", "2024-01-06"):
+        run(day)
+        stored = cat.change_metrics()
+        assert sorted(map(str, stored.collect())) == sorted(map(str, history(cat).collect()))
+    assert stored.agg(F.sum("usage_category_changed")).first()[0] > 5
+    one = cat.versions("property_audit").limit(1)
+    cat.upsert("property_audit", spark.createDataFrame(one.collect(), one.schema), "2024-02-01")  # changes are not stored for it
+    assert cat.change_metrics() is None and marts.property_change_metrics(cat).count() == history(cat).count()
+
+
+def test_a_night_reads_no_older_snapshots(spark, cat):
+    for day in ("2024-01-01", "2024-01-02"):
+        silver.run_silver(cat, {"property_events_raw": raws(spark, property_event("p", day, 10))}, day=day)
+    one = cat.versions("property_audit").limit(1)
+    cat.upsert("property_audit", spark.createDataFrame(one.collect(), one.schema), "2024-01-03")
+    before, snapshots, newest = cat.changes_before("2024-01-03")
+    assert newest and all("load=2024-01-03" in f for f in snapshots.inputFiles())
+    assert all("property_audit_last" in f for f in before.inputFiles())
+
+
+def test_backfill_files_are_few_and_sorted(spark, small, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from medallion_marts.plans import backfill
+
+    key, path = "spark.sql.shuffle.partitions", str(tmp_path / "rows")
+    rows = backfill.backfill_demand_details(sample.backfill_details(spark, small), sample.backfill_headers(spark, small)).repartition(20)
+    before = spark.conf.get(key)
+    spark.conf.set(key, "200")
+    try:
+        backfill.write_backfill(rows, path)
+    finally:
+        spark.conf.set(key, before)
+    months = glob.glob(f"{path}/month=*")
+    assert len(months) > 50
+    for month in months:
+        files = glob.glob(f"{month}/*.parquet")
+        assert len(files) <= 2
+        for f in files:
+            times = pq.ParquetFile(f).read(["last_modified_time"])["last_modified_time"].to_pylist()
+            assert times == sorted(times)
+    day = spark.read.parquet(path).where("month = '199606' AND last_modified_time < '1996-06-03'")
+    assert "PushedFilters: [IsNotNull(last_modified_time), LessThan(last_modified_time" in day._jdf.queryExecution().executedPlan().toString()
