@@ -24,11 +24,11 @@ slices are cut between words, so only a single word longer than `SLICE` makes on
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -39,8 +39,8 @@ SHARDS = 4
 LEAST, TOP, SWALLOWED = 10, 2000, 50
 #: A bitmap's size at most, and its positions for each phrase.
 FILTER_BYTES, POSITIONS = 32 << 20, 16
-#: Bytes of text worked on at once; distinct phrases that a task collects before it sends them on.
-SLICE, PENDING = 1 << 20, 300_000
+#: Bytes of text worked on at once; phrases that a task collects before it counts them and sends them on.
+SLICE, PENDING = 1 << 20, 2_400_000
 #: Languages times shards that are broadcast with their local support; with more, the local support is 1.
 MAX_SHARES = 200_000
 #: Fixed characters of the definition: those that end a piece, and the blanks between words.
@@ -176,7 +176,7 @@ def _mined(docs: DataFrame, pairs, shards: int, size: int) -> DataFrame:
                     keys.append(three[at])
                 needs.append(need[words.doc[at]])
                 n += len(at)
-                if n > 8 * PENDING:
+                if n > PENDING:
                     yield out()
                     keys, needs, n = [], [], 0
         if n:
@@ -187,39 +187,41 @@ def _mined(docs: DataFrame, pairs, shards: int, size: int) -> DataFrame:
 
 
 class _Exact:
-    """Counts of (language, number of words, phrase) in one task."""
+    """Counts of (language, number of words, phrase) of a slice; no text becomes a Python object."""
+
+    NAMES = ["lang", "k", "phrase", "n"]
 
     def __init__(self, bitmap: np.ndarray):
         self.bitmap = bitmap
-        self.counts: defaultdict[tuple, int] = defaultdict(int)
 
-    def add(self, words: Words, lang: np.ndarray, names: list[str]) -> None:
+    def of(self, words: Words, lang: np.ndarray, names: list[str]) -> Iterator[pa.RecordBatch]:
         code = {}
         of_doc = np.array([code.setdefault(x, len(code)) for x in names], np.int64)
-        names = list(code)
         ids, first = self._ids(words, of_doc)
-        text = [words.data[a:b].tobytes().decode() for a, b in zip(words.starts[first], words.ends[first])]
-        name = [names[k] for k in of_doc[words.doc[first]]]
-        for k, n in enumerate(np.bincount(ids[words.old :], minlength=len(first)).tolist()):
-            if n:
-                self.counts[name[k], 1, text[k]] += n
+        size = words.ends[first] - words.starts[first]
+        ends = np.cumsum(size)
+        body = words.data[np.repeat(words.starts[first] - ends + size, size) + np.arange(ends[-1])]
+        text = pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(np.concatenate([[0], ends])), pa.py_buffer(body)).cast(pa.string())
+        name = pa.array(list(code), pa.string()).take(pa.array(of_doc[words.doc[first]]))
+        counts = np.bincount(ids[words.old :], minlength=len(first))
+        new = np.flatnonzero(counts)
+        yield self._batch(1, name, [text], [new], counts[new])
         two, three = _keys(words, lang, np.zeros(len(lang), np.uint8))
         bits = 8 * len(self.bitmap)
-        known = words.two & _is_set(self.bitmap, _position(two, bits, 0))
-        at = np.flatnonzero(known)
-        for (a, b), n in self._distinct(ids[at], ids[at + 1]):
-            self.counts[name[a], 2, f"{text[a]} {text[b]}"] += n
+        at = np.flatnonzero(words.two & _is_set(self.bitmap, _position(two, bits, 0)))
+        pairs, counts = np.unique(ids[at] << 32 | ids[at + 1], return_counts=True)
+        yield self._batch(2, name, [text] * 2, [pairs >> 32, pairs & 0xFFFFFFFF], counts)
         if len(three):
             at = np.flatnonzero(words.three & _is_set(self.bitmap, _position(three, bits, 0)))
             pairs, inverse = np.unique(ids[at] << 32 | ids[at + 1], return_inverse=True)
-            for (p, c), n in self._distinct(inverse.astype(np.int64), ids[at + 2]):
-                a, b = int(pairs[p]) >> 32, int(pairs[p]) & 0xFFFFFFFF
-                self.counts[name[a], 3, f"{text[a]} {text[b]} {text[c]}"] += n
+            threes, counts = np.unique(inverse.astype(np.int64) << 32 | ids[at + 2], return_counts=True)
+            of = pairs[threes >> 32]
+            yield self._batch(3, name, [text] * 3, [of >> 32, of & 0xFFFFFFFF, threes & 0xFFFFFFFF], counts)
 
-    @staticmethod
-    def _distinct(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[tuple[int, int], int]]:
-        found, counts = np.unique(left << 32 | right, return_counts=True)
-        return zip(zip((found >> 32).tolist(), (found & 0xFFFFFFFF).tolist()), counts.tolist())
+    def _batch(self, k: int, name: pa.Array, texts: list[pa.Array], ids: list[np.ndarray], counts: np.ndarray) -> pa.RecordBatch:
+        parts = [t.take(pa.array(i)) for t, i in zip(texts, ids)]
+        phrase = pc.binary_join_element_wise(*parts, " ") if k > 1 else parts[0]
+        return pa.RecordBatch.from_arrays([name.take(pa.array(ids[0])), pa.array(np.full(len(counts), k, np.int32)), phrase, pa.array(counts.astype(np.int64))], self.NAMES)
 
     @staticmethod
     def _ids(words: Words, of_doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -237,12 +239,6 @@ class _Exact:
             _, first = np.unique(ids, return_index=True)
         return ids.astype(np.int64), first
 
-    def batch(self) -> pa.RecordBatch:
-        lang, k, phrase = zip(*self.counts)
-        out = pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(k, pa.int32()), pa.array(phrase, pa.string()), pa.array(list(self.counts.values()), pa.int64())], ["lang", "k", "phrase", "n"])
-        self.counts.clear()
-        return out
-
 
 def _exact(docs: DataFrame, union, least: int, size: int) -> DataFrame:
     """(lang, k, phrase, f) of the words, and of the phrases in the bitmap, with `least` occurrences or more."""
@@ -252,11 +248,7 @@ def _exact(docs: DataFrame, union, least: int, size: int) -> DataFrame:
         for batch in batches:
             lang, names = _codes(batch.column(1)), batch.column(2).to_pylist()
             for words in slices(batch.column(0), size):
-                exact.add(words, lang, names)
-                if len(exact.counts) > PENDING:
-                    yield exact.batch()
-        if exact.counts:
-            yield exact.batch()
+                yield from exact.of(words, lang, names)
 
     rows = map_arrow(docs.select("text", "lang_key", "lang"), run, "lang string, k int, phrase string, n long")
     return rows.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
