@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import map_batches, quiet_threads
 
 #: Characters of a chunk, and of the overlap that is tried first.
-CHUNK, OVERLAP = 16_384, 256
+CHUNK, OVERLAP = 65_536, 256
 LIMIT = 1024
 #: Characters of short texts that are handed to the tokenizer together.
 TOGETHER = 1 << 20

@@ -63,7 +63,7 @@ def test_other_files_are_encoded_whole(spark, docs_of):
 
 
 def test_odd_tables(spark, docs_of, library):
-    long = " ".join(f"word{k} it's\n" for k in range(20_000)) + "<|endoftext|>"
+    long = " ".join(f"word{k} it's\n" for k in range(60_000)) + "<|endoftext|>"
     texts = [None, "", " ", "a", "a", long, "<|endoftext|>"]
     docs = docs_of([*enumerate(texts), (None, "x"), (3, "a")]).withColumns({"n_bytes": F.lit("clash"), "n_tokens": F.lit(1), "a.b": F.lit(2)})
     got = sorted(tuple(r) for r in token_counts.count_tokens(docs, path()).where("doc_id IS NOT NULL").collect())
