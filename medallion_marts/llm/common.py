@@ -108,6 +108,18 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
     return map_arrow(df, run, schema)
 
 
+def keep_rows(docs: DataFrame, make: Callable[[], Callable[[pa.Array], list[bool]]], text_col: str = "text") -> DataFrame:
+    """The rows of docs, with docs' own columns whatever their names, whose text a function (made once per task) says yes to."""
+    where = docs.columns.index(text_col)
+    rows = docs.select(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]).alias("_row"))
+
+    def per_task():
+        keep = make()
+        return lambda batch: batch.filter(pa.array(keep(batch.column(0).field(where)), pa.bool_()))
+
+    return map_batches(rows, per_task, rows.schema).select("_row.*")
+
+
 def quiet_threads() -> None:
     """One thread for each Python worker: Spark already runs one worker for each core."""
     for name in ("OMP_NUM_THREADS", "OPENBLAS_NUM_THREADS", "MKL_NUM_THREADS"):

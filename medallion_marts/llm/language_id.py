@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import give_back, id_remainder, map_batches
+from .common import give_back, id_remainder, keep_rows, map_batches
 
 ORDER = 3
 #: About so many documents of each language are learned from, chosen by a hash of their id, and so
@@ -244,26 +244,20 @@ def identify(docs: DataFrame, modulus: int = 5, held_out: int = 0) -> DataFrame:
 def keep_identified(docs: DataFrame, model: Model | None, min_score: float = 0.5) -> DataFrame:
     """The rows of docs, with docs' own columns, whose language is told with `min_score` or more."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    where = docs.columns.index("text")
 
     def make():
         import regex
 
         letter, m = regex.compile(r"\p{L}").search, shared.value
 
-        def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-            keep = []
-            for value in batch.column(where):
-                text = value.as_py()
-                if text is None or not letter(text):
-                    keep.append(False)
-                elif m is None:
-                    keep.append(True)
-                else:
-                    bits = m.bits(text.encode("utf-8", "replace"))
-                    keep.append(bool(1 / np.exp2(-np.minimum(bits - bits.min(), 1000)).sum() >= min_score))
-            return batch.filter(pa.array(keep))
+        def told(text: str | None) -> bool:
+            if text is None or not letter(text):
+                return False
+            if m is None:
+                return True
+            bits = m.bits(text.encode("utf-8", "replace"))
+            return bool(1 / np.exp2(-np.minimum(bits - bits.min(), 1000)).sum() >= min_score)
 
-        return one
+        return lambda texts: [told(x.as_py()) for x in texts]
 
-    return map_batches(docs, make, docs.schema)
+    return keep_rows(docs, make)

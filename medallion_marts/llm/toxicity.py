@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import give_back, id_remainder, map_batches, staged
+from .common import give_back, id_remainder, keep_rows, map_batches, staged
 
 #: About so many documents of each label are learned from, chosen by a hash of their id.
 SAMPLE_PER_LABEL = 4000
@@ -358,14 +358,9 @@ def assess(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out: int =
 def keep_clean(docs: DataFrame, model: Model | None, threshold: float = 0.7) -> DataFrame:
     """The rows of docs, with docs' own columns, whose score is below the threshold."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    where = docs.columns.index("text")
 
     def make():
         score = scorer(shared.value)
+        return lambda texts: [score(x.as_py())[0] < threshold for x in texts]
 
-        def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-            return batch.filter(pa.array([score(x.as_py())[0] < threshold for x in batch.column(where)], pa.bool_()))
-
-        return one
-
-    return map_batches(docs, make, docs.schema)
+    return keep_rows(docs, make)
