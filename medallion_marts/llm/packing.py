@@ -3,12 +3,17 @@
 A document's full windows stand alone; its rest is placed, as it arrives, at the fill level
 (of an open window in which it fits, or of a new one) for which the sum over fill levels of
 the squared number of open windows becomes least. The numbers are kept in an array by level.
-Each task packs the documents of its partition and holds at most `MAX_OPEN` windows open: when
-so many are open and a rest fits none of them, it is cut. Its beginning fills exactly the level
-whose loss lowers the sum most, and what is left of it is placed in turn. At a task's end the
-emptiest window is dissolved, again and again, and its pieces are placed by the same rule
-without new windows, until one window is left; that one is cut into lengths that are powers of
-two, which need no padding.
+A window is done when a rest fills it exactly.
+
+Each task packs the documents of its partition. The pieces in windows still open at its end go
+to a second step, where one task packs those of `TASKS_TOGETHER` tasks by the same rule, the longest
+first, and what stays open once more. Then the emptiest window is dissolved, again and again, and its
+pieces are placed by the rule without new windows; a piece that fits none is cut and fills the level
+(or the two levels exactly) whose loss lowers the sum most. One window is left; it is cut into lengths
+that are powers of two, which need no padding.
+
+About a thousand windows stay open, whatever the number of documents: the rule keeps levels even.
+`MAX_OPEN` bounds a task's memory for lengths on which it does not; beyond it rests are cut as well.
 
 Ids are those of the `tokenizers` library. Where its file is a byte-level BPE with merges in
 order of ids, as the given one, the same ranks are merged by `tiktoken`, which is faster;
@@ -17,7 +22,7 @@ library's Unicode version) go through `tokenizers` itself.
 
 Defined results: a null or empty text is the end id alone; ties go to the fullest level;
 repeated rows are packed like any others; an empty table gives an empty result; other
-columns are not looked at. The sequence id holds the partition's number in its upper bits.
+columns are not looked at. The sequence id holds the step and the partition's number in its upper bits.
 """
 
 from __future__ import annotations
@@ -33,12 +38,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, quiet_threads
+from .common import map_arrow, quiet_threads, staged
 
 WINDOW = 1024
 END_ID = 0
-#: Windows that a task holds open at most; beyond that documents are cut, so nothing is dropped.
-MAX_OPEN = 64
+#: Windows that a task holds open at most (32 MB of ids); beyond that documents are cut, so nothing is dropped.
+MAX_OPEN = 8192
+#: Tasks whose open windows are packed together in the second step.
+TASKS_TOGETHER = 32
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -63,9 +70,18 @@ class Levels:
         best = last - int(np.argmin(gain[::-1]))
         return best if gain[best] < 1 << 39 else None
 
-    def fullest_crowd(self) -> int:
-        """The level that loses most squares if one of its windows is filled; ties to the fullest."""
-        return self.window - 1 - int(np.argmax(self.count[self.window - 1 : 0 : -1]))
+    def to_fill(self, size: int) -> int:
+        """The level to fill with the beginning of a piece that fits nowhere whole.
+
+        What is left of the piece then fills another level exactly, if there is such a pair: the one whose
+        loss lowers the sum most; ties to the fullest.
+        """
+        levels = np.flatnonzero(self.count[1 : self.window]) + 1
+        other = 2 * self.window - size - levels
+        gain = 2 * self.count[levels] - 1
+        there = self.count[np.clip(other, 1, self.window - 1)] - (other == levels)
+        gain += np.where((other < self.window) & (there > 0), 2 * there - 1, 0)
+        return int(levels[len(levels) - 1 - np.argmax(gain[::-1])])
 
     def take(self, level: int) -> list:
         self.count[level] -= 1
@@ -85,26 +101,25 @@ class Packer:
         self.levels = Levels(window)
         self.window, self.max_open, self.sequence = window, max_open, first_sequence
         self.rows: list[tuple] = []
-        #: Tokens of rests in windows filled as documents came, as windows were dissolved, and of the last window.
-        self.placed = self.dissolved = self.last = 0
-        self.cuts = 0
+        #: Windows of rests that were filled by the rule and by a cut, cuts in all, and tokens of the last window.
+        self.by_rule = self.by_cut = self.cuts = self.last = 0
 
     def add(self, doc_id, ids: bytes) -> None:
         total = len(ids) // 4
         for start in range(0, total - self.window + 1, self.window):
             self._close([(doc_id, start, self.window, ids[4 * start : 4 * (start + self.window)], total)])
         if rest := total % self.window:
-            self.placed += self.window * self.place((doc_id, total - rest, rest, ids[4 * (total - rest) :], total), self.max_open)
+            self.place((doc_id, total - rest, rest, ids[4 * (total - rest) :], total), self.max_open)
 
-    def place(self, piece: tuple, max_open: int) -> int:
-        """Puts a piece into windows by the rule; returns how many became full."""
-        levels, filled = self.levels, 0
+    def place(self, piece: tuple, max_open: int) -> None:
+        """Puts a piece into windows by the rule."""
+        levels = self.levels
         while True:
             size = piece[2]
             level = levels.choose(size, levels.n_open < max_open)
             whole = level is not None
             if not whole:
-                level = levels.fullest_crowd()
+                level = levels.to_fill(size)
                 self.cuts += 1
             pieces = levels.take(level) if level else []
             doc_id, start, _, ids, total = piece
@@ -112,19 +127,27 @@ class Packer:
             pieces.append((doc_id, start, n, ids[: 4 * n], total))
             if level + n == self.window:
                 self._close(pieces)
-                filled += 1
+                self.by_rule += whole
+                self.by_cut += not whole
             else:
                 levels.put(level + n, pieces)
             if whole:
-                return filled
+                return
             piece = (doc_id, start + n, size - n, ids[4 * n :], total)
 
+    def again(self) -> None:
+        """Packs what is in open windows once more, the longest pieces first."""
+        pieces = sorted((x[:5] for x in self.leave()), key=lambda x: -x[2])
+        self.levels = Levels(self.window)
+        for piece in pieces:
+            self.place(piece, self.max_open)
+
     def finish(self) -> None:
         """Dissolves the emptiest windows until one is left, and cuts that one into powers of two."""
         levels = self.levels
         while levels.n_open > 1:
             for piece in levels.take(int(np.flatnonzero(levels.count)[0])):
-                self.dissolved += self.window * self.place(piece, max(1, levels.n_open))
+                self.place(piece, max(1, levels.n_open))
         if levels.n_open:
             level = int(np.flatnonzero(levels.count)[0])
             self.last = level
@@ -141,6 +164,18 @@ class Packer:
                     pieces[:1] = [(doc_id, start + n, length - n, ids[4 * n :], total)] if n < length else []
                 self._close(current)
 
+    def leave(self) -> list[tuple]:
+        """The pieces in windows still open, with a number for the window and their place in it."""
+        out = []
+        for windows in self.levels.open:
+            for pieces in windows:
+                at = 0
+                for piece in pieces:
+                    out.append((*piece, self.sequence, at))
+                    at += piece[2]
+                self.sequence += 1
+        return out
+
     def _close(self, pieces: list[tuple]) -> None:
         at = 0
         for doc_id, start, length, ids, total in pieces:
@@ -211,21 +246,56 @@ def ids_of(path: str) -> Ids:
     return Ids(path)
 
 
+LEFT = SCHEMA + ", ids binary, together int"
+
+
+def _left_batch(left: list[tuple], together: int) -> pa.RecordBatch:
+    doc, start, length, ids, total, window, at = zip(*left)
+    numbers = [pa.array(c, pa.int64()) for c in (doc, start, length, [0] * len(left), total, window, at)]
+    return pa.RecordBatch.from_arrays([*numbers, pa.array(ids, pa.binary()), pa.array([together] * len(left), pa.int32())], [x.split()[0] for x in LEFT.split(", ")])
+
+
+def _closed(batch: pa.RecordBatch) -> pa.RecordBatch:
+    n = batch.num_rows
+    return pa.RecordBatch.from_arrays([*batch.columns, pa.nulls(n, pa.binary()), pa.nulls(n, pa.int32())], [x.split()[0] for x in LEFT.split(", ")])
+
+
 def pack(docs: DataFrame, path: str, window: int = WINDOW, max_open: int = MAX_OPEN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece of a document in a sequence; no shuffle."""
+    """One row per piece of a document in a sequence. Only pieces left in open windows are shuffled."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        packer = Packer(TaskContext.get().partitionId() << 40, window, max_open)
+        task = TaskContext.get().partitionId()
+        packer = Packer(task << 40, window, max_open)
         ids, end = ids_of(path), array("I", [END_ID]).tobytes()
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 packer.add(doc_id, ids.of(text.as_py() or "") + end)
                 if len(packer.rows) >= 20_000:
-                    yield packer.batch()
+                    yield _closed(packer.batch())
+        if packer.rows:
+            yield _closed(packer.batch())
+        left = packer.leave()
+        for at in range(0, len(left), 1000):
+            yield _left_batch(left[at : at + 1000], task // TASKS_TOGETHER)
+
+    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        packer = Packer((1 << 62) + (TaskContext.get().partitionId() << 40), window, max_open)
+        for batch in batches:
+            doc, start, length, _, total, _, _, ids, _ = (c.to_pylist() for c in batch.columns)
+            for piece in zip(doc, start, length, ids, total):
+                packer.place(piece, max_open)
+            if len(packer.rows) >= 20_000:
+                yield packer.batch()
+        packer.again()
         packer.finish()
         if packer.rows:
             yield packer.batch()
 
-    return map_arrow(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")), run, SCHEMA)
+    # Written once: both halves must come of the same run of a task.
+    packed = staged(map_arrow(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")), first, LEFT), "packed")
+    left = packed.where("ids IS NOT NULL").repartition("together").sortWithinPartitions(F.desc("length"), "sequence_id", "offset")
+    return packed.where("ids IS NULL").drop("ids", "together").unionByName(map_arrow(left, second, SCHEMA))
