@@ -1,8 +1,9 @@
 """Connected components by alternating large and small stars.
 
-Every round is two aggregations and two joins, so no component, however large, meets in
-one task or on the driver. Rounds are written to the shared folder, and read back in as many
-partitions as their rows are worth.
+Every round is two aggregations and two joins, so nothing meets on the driver. A star's rows are
+joined by its centre: Spark splits a large one as a skewed join (`spark.sql.adaptive.skewJoin`, on by
+default); with that off a large component's rows would meet in one task. Rounds are written to the
+shared folder, and read back in as many partitions as their rows are worth.
 """
 
 from __future__ import annotations

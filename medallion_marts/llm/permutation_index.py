@@ -34,7 +34,7 @@ NEAREST = 64
 SAMPLE = 4096
 #: A vector this close to a pivot (as a cosine, of either sign) does not become one too.
 APART = 0.8
-SHARE = 0.15
+SHARE = 0.2
 #: A block offers this many candidates at least.
 LEAST = 128
 #: Vectors that save so much of the largest footrule distance are all candidates, however many
