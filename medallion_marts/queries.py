@@ -90,6 +90,15 @@ def _stored(spark: SparkSession) -> TableCatalog:
     return cat
 
 
+def _once(df: DataFrame, label: str) -> DataFrame:
+    """df, written to the shared folder and read back."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{_shared_dir(spark)}/{label}-{uuid.uuid4().hex}")
+    df.write.parquet(path.toString())
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return spark.read.schema(df.schema).parquet(path.toString())
+
+
 def _versions(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """An entity's versions. Ties in time are settled before, as stored versions have only their arrival."""
     rows, spec = sample.ENTITIES[name](spark, sf_dir), schemas.ENTITIES[name]
@@ -153,30 +162,30 @@ def marts_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
         JOIN {cat.name('v_demand_collection_with_arrears')} v USING (tenant_id, financial_year)""")
 
 
-#: Nights of `repeated_nights`, in the order in which they run: the second and the third twice.
+#: Nights of `repeated_nights`, and the order in which they run: the second once more at the end.
 NIGHTS = ("1999-03-30", "1999-03-31", "1999-04-01")
-NIGHTS_RUN = (0, 1, 2, 2, 1)
+NIGHTS_RUN = (0, 1, 2, 1)
 
 
 def _night(changed: Column) -> Column:
-    """The night that brings a version of a property: first states in the first one, later ones by the half of the year, whatever the year."""
-    return F.when(changed <= F.to_timestamp(F.lit("1995-01-01")), 0).when(F.month(changed) <= 6, 1).otherwise(2)
+    """The night that brings a version of a property: first states in the first one, later ones by the day of the month, whatever the month."""
+    return F.when(changed <= F.to_timestamp(F.lit("1995-01-01")), 0).when(F.dayofmonth(changed) <= 15, 2).otherwise(1)
 
 
 def repeated_nights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three nights of property events, versions out of order, two of them run again; then the changes between audit snapshots."""
+    """Three nights of property events, versions out of order, one of them run again; then the changes between audit snapshots."""
     cat = _stored(spark)
-    events = sample.property_events(spark, sf_dir)
     changed = millis(F.get_json_object("raw", "$.property.auditDetails.lastModifiedTime").cast("bigint"))
+    raw = _once(sample.property_events(spark, sf_dir).withColumn("night", _night(changed)), "raw")
     for k in NIGHTS_RUN:
-        silver.run_silver(cat, {"property_events_raw": events.where(_night(changed) == k)}, day=NIGHTS[k])
+        silver.run_silver(cat, {"property_events_raw": raw.where(F.col("night") == k)}, day=NIGHTS[k])
     refresh.refresh_all(cat, ["property_change_metrics", "property_risk_summary", "property_changes_by_fy"])
     return cat.mart("property_changes_by_fy").drop("data_refresh_date")
 
 
 def compacted_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versions of demands are appended in two loads, the newer first, then compacted: one row for each demand is stored."""
-    cat, rows = _stored(spark), _versions(spark, sf_dir, "demand")
+    cat, rows = _stored(spark), _once(_versions(spark, sf_dir, "demand"), "demand")
     for late in (True, False):
         cat.upsert("demand", rows.where((F.month("last_modified_time") > 6) == late))
     cat.compact("demand")
@@ -188,6 +197,8 @@ def backfill_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{_shared_dir(spark)}/backfill-{uuid.uuid4().hex}"
     rows = backfill.backfill_demand_details(sample.backfill_details(spark, sf_dir), sample.backfill_headers(spark, sf_dir))
     backfill.write_backfill(rows, path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     backfill.write_backfill(rows.where("month >= '199701'"), path)
     stored = spark.read.parquet(path)
     return stored.groupBy(F.col("month").cast("string").alias("month")).agg(F.count("*").alias("details"), F.sum("tax_amount").cast("decimal(18,2)").alias("tax_amount"), F.sum("version").alias("versions"))
@@ -468,7 +479,7 @@ ORACLE_SQL |= {
           SELECT *, coalesce((usage_category != lag(usage_category) OVER (PARTITION BY tenant_id, property_id ORDER BY night))::INT, 0) AS changed FROM (
             SELECT night, taken, tenant_id, property_id, property_type, usage_category FROM all_properties,
               (VALUES (0, TIMESTAMP '1999-03-31'), (1, TIMESTAMP '1999-04-01'), (2, TIMESTAMP '1999-04-02')) n(night, taken)
-            WHERE CASE WHEN last_modified_time <= TIMESTAMP '1995-01-01' THEN 0 WHEN month(last_modified_time) <= 6 THEN 1 ELSE 2 END <= night
+            WHERE CASE WHEN last_modified_time <= TIMESTAMP '1995-01-01' THEN 0 WHEN day(last_modified_time) <= 15 THEN 2 ELSE 1 END <= night
             QUALIFY row_number() OVER (PARTITION BY night, tenant_id, property_id ORDER BY last_modified_time DESC) = 1)) GROUP BY 1, 2, 3""",
         "all_properties",
     ),

@@ -36,6 +36,8 @@ BUCKETED_BY = {
     "bill_detail": ("tenant_id", "bill_id"),
     "assessment": ("tenant_id", "propertyid"),
 }
+#: Rows of a load whose keys are broadcast to the newest state; larger loads are shuffled with it.
+SMALL_LOAD = 100_000
 #: The stored rows of `change_metrics`, in a partition for each load of snapshots.
 CHANGES = "property_change_history"
 
@@ -171,19 +173,27 @@ class TableCatalog(Catalog):
                 self.spark.sql(f"ALTER TABLE {self.name(name)} DROP IF EXISTS PARTITION (slice = {k})")
             self._write_newest(name, latest_state(rows, keys, spec.version, ties))
         else:
-            self._merge(name, incoming, touched)
+            self._merge(name, loaded, incoming, touched)
 
-    def _merge(self, name: str, incoming: DataFrame, touched: set[int]) -> None:
-        """Puts the newest rows of a load (with `slice`) into the newest state, where they are not older than what is stored."""
+    def _merge(self, name: str, loaded: DataFrame, incoming: DataFrame, touched: set[int]) -> None:
+        """Puts a load (its rows, and the newest of each key) into the newest state, where it is not older than what is stored."""
         spec = table_spec(name)
         keys, ties = list(spec.keys), [c for c in ("_ingested_at",) if c in spec.schema.names]
+        if not touched:
+            return
         if not self._partitions(name):
             self._write_newest(name, incoming)
-        elif touched:
-            stored = self.spark.table(self.name(name)).where(F.col("slice").isin(*touched))
-            age = F.struct(spec.version, *ties)
-            newer = incoming.join(stored.select(*keys, age.alias("_stored")), keys, "left").where(F.col("_stored").isNull() | (age >= F.col("_stored"))).drop("_stored")
-            self._write_newest(name, stored.join(newer.select(*keys), keys, "left_anti").unionByName(newer))
+            return
+        stored = self.spark.table(self.name(name)).where(F.col("slice").isin(*touched))
+        if loaded.limit(SMALL_LOAD + 1).count() > SMALL_LOAD:
+            self._write_newest(name, latest_state(stored.unionByName(loaded), keys, spec.version, ties))
+            return
+        # A small load is broadcast: stored rows move only to be written.
+        age = F.struct(spec.version, *ties)
+        arrived = F.broadcast(incoming.select(*keys, age.alias("_arrived")))
+        older = stored.join(arrived, keys).where(age > F.col("_arrived")).select(*keys)
+        newer = incoming.join(F.broadcast(older), keys, "left_anti")
+        self._write_newest(name, stored.join(F.broadcast(newer.select(*keys)), keys, "left_anti").unionByName(newer))
 
     def keep_newest(self, name: str, rows: DataFrame, anew: bool = False) -> None:
         """Brings a table that has a newest state only up to date with rows, or makes it of them."""
@@ -192,7 +202,8 @@ class TableCatalog(Catalog):
         incoming = latest_state(rows, spec.keys, spec.version, ["_ingested_at"]).withColumn("slice", self._slice(name))
         if anew:
             self.spark.sql(f"TRUNCATE TABLE {self.name(name)}")
-        self._merge(name, incoming, self._touched(rows.withColumn("slice", self._slice(name))))
+        rows = rows.withColumn("slice", self._slice(name))
+        self._merge(name, rows, incoming, self._touched(rows))
 
     def _write_newest(self, name: str, rows: DataFrame) -> None:
         """Overwrites the slices of rows. Each task writes one bucket."""

@@ -12,6 +12,7 @@ from medallion_marts import schemas
 from medallion_marts.operators.latest import latest_state
 from medallion_marts.plans import marts, refresh, silver, views
 from medallion_marts.sources import sample_tables as sample
+from medallion_marts.sources import tables
 from medallion_marts.sources.catalog import FrameCatalog
 from medallion_marts.sources.tables import TableCatalog
 
@@ -68,7 +69,10 @@ def recomputed(cat):
     return state(latest_state(cat.versions("demand"), DEMAND.keys, DEMAND.version, ["_ingested_at"]))
 
 
-def test_loads_out_of_order_give_the_newest_state(spark, cat):
+@pytest.mark.parametrize("small_load", [0, 100_000])
+def test_loads_out_of_order_give_the_newest_state(spark, cat, monkeypatch, small_load):
+    """Loads that are shuffled with the stored state, and ones that are broadcast to it."""
+    monkeypatch.setattr(tables, "SMALL_LOAD", small_load)
     rng = random.Random(0)
     for load in ("c", "a", "b"):
         cat.upsert("demand", versions(spark, [(f"d{rng.randrange(40)}", rng.randrange(50), f"{load}{k}") for k in range(60)]).dropDuplicates(["demand_id", "last_modified_time"]), load)
