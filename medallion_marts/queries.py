@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions.fiscal import month_number
 from .functions.values import millis
 from . import schemas
 from .operators.latest import latest_state as latest
@@ -16,7 +18,7 @@ from .plans import backfill, dimensions, marts, refresh, silver, views
 from .sources import sample_tables as sample
 from .sources.events import quarantine, read_events, split_payload
 from .sources.tables import TableCatalog
-from .streaming.ingest import ingest
+from .streaming.ingest import ingest, raw_window
 
 #: The sample tables' fiscal years are those of the nineties.
 MIN_FY_START = 1995
@@ -144,13 +146,36 @@ MEASURED = {
 
 
 def refreshed_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All entities are stored and all sixteen marts refreshed from their newest states; rows and a sum of each stored mart."""
+    """All entities are stored and all sixteen marts refreshed from their newest states; rows, those stamped since the start, and a sum of each stored mart."""
+    day = spark.range(1).select(F.current_date()).first()[0]
     cat = _load_all(_stored(spark), sf_dir, sample.ENTITIES)
     refresh.refresh_all(cat)
-    parts = [cat.mart(name).agg(F.count("*").alias("rows"), F.sum(F.col(c).cast("decimal(28,4)")).cast("decimal(38,4)").alias("total")).select(F.lit(name).alias("mart"), "rows", "total") for name, c in MEASURED.items()]
+    sums = lambda c: (F.count("*").alias("rows"), F.count_if(F.col("data_refresh_date") >= F.lit(day)).alias("stamped"), F.sum(F.col(c).cast("decimal(28,4)")).cast("decimal(38,4)").alias("total"))
+    parts = [cat.mart(name).agg(*sums(c)).select(F.lit(name).alias("mart"), "rows", "stamped", "total") for name, c in MEASURED.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
+def loaded_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of stored entities after a load and a compaction, and of a mart."""
+    cat = _load_all(_stored(spark), sf_dir, ["property_address", "property_owner", "bill"])
+    cat.compact("property_address")
+    refresh.refresh_all(cat, ["new_properties_by_fy"])
+    return cat.counts_report(["property_address", "property_owner", "bill", "new_properties_by_fy"])
+
+
+#: The days that the sample's events are of, in the zone that `raw_days` counts them in.
+ZONE, FIRST_DAY, DAYS = "Asia/Kolkata", date(2024, 1, 1), 31
+
+
+def raw_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as raw rows, day after day of another zone than the session's, by the window that a night reads."""
+    at = F.col("ts").cast("timestamp")
+    raw = sample.table(spark, sf_dir, "events").select(at.alias("event_time"), F.col("props").alias("raw"), month_number(at, ZONE).alias("event_month"))
+    days = [str(FIRST_DAY + timedelta(days=k)) for k in range(DAYS)]
+    parts = [raw_window(raw, day, ZONE).agg(F.count("*").alias("events"), F.sum(F.length("raw")).alias("characters")).select(F.lit(day).alias("day"), "events", "characters") for day in days]
+    return reduce(DataFrame.unionByName, parts).where("events > 0")
+
+
 def marts_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL over two stored marts and a stored view, by their names."""
     cat = _load_all(_stored(spark), sf_dir, ["demand", "assessment", "payment", "bill", "property_address"])
@@ -278,6 +303,8 @@ QUERIES |= {
         refreshed_marts,
         marts_by_name,
         repeated_nights,
+        loaded_counts,
+        raw_days,
         compacted_demand,
         backfill_written,
         localize,
@@ -465,10 +492,20 @@ ORACLE_SQL |= {
 }
 ORACLE_SQL |= {
     "refreshed_marts": " UNION ALL ".join(
-        f"SELECT '{mart}' AS mart, count(*) AS rows, sum({column}::DECIMAL(28,4))::DECIMAL(38,4) AS total FROM ({ORACLE_SQL[key]})"
+        f"SELECT '{mart}' AS mart, count(*) AS rows, count(*) AS stamped, sum({column}::DECIMAL(28,4))::DECIMAL(38,4) AS total FROM ({ORACLE_SQL[key]})"
         for (key, function, _), (mart, column) in zip(_MART_KEYS, MEASURED.items())
         if function.__name__ == mart
     ),
+    "loaded_counts": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS rows FROM ({query})"
+        for name, query in (
+            ("property_address", _sql("SELECT * FROM property_address", "all_properties", "property_address")),
+            ("property_owner", _sql("SELECT * FROM property_owner", "property_owner")),
+            ("bill", _sql("SELECT * FROM bill", "bill")),
+            ("new_properties_by_fy", ORACLE_SQL["m02_new_properties_by_fy"]),
+        )
+    ),
+    "raw_days": "SELECT (ts + INTERVAL 330 MINUTE)::DATE::VARCHAR AS day, count(*) AS events, sum(length(props))::BIGINT AS characters FROM events GROUP BY 1",
     "marts_by_name": f"""SELECT d.tenant_id, d.financial_year, d.total_outstanding, c.total_properties_with_demand, v.arrears_outstanding
         FROM ({ORACLE_SQL['m03_demand_and_collection_summary']}) d JOIN ({ORACLE_SQL['m10_property_demand_vs_assessed_by_fy']}) c USING (tenant_id, financial_year)
         JOIN ({ORACLE_SQL['v2_demand_collection_with_arrears']}) v USING (tenant_id, financial_year)""",

@@ -162,3 +162,34 @@ def test_sums_of_flags_agree(spark, small):
     cat = sample.catalog(spark, small)
     total = lambda df: df.agg(F.sum("total_updates")).first()[0]
     assert total(marts.property_risk_summary(cat)) == total(marts.property_changes_by_fy(cat))
+
+
+def test_topics_are_read_as_told():
+    """What the Kafka source is asked for; the connector itself is not installed here."""
+    from medallion_marts.sources import events
+
+    class Reader:
+        def __init__(self):
+            self.told = {}
+
+        def format(self, name):
+            self.told["format"] = name
+            return self
+
+        def option(self, key, value):
+            self.told[key] = value
+            return self
+
+        def options(self, **more):
+            self.told |= more
+            return self
+
+        def load(self):
+            raise StopIteration
+
+    class Session:
+        readStream = Reader()
+
+    with pytest.raises(StopIteration):
+        events.read_events(Session, "property-events", **{"kafka.bootstrap.servers": "a:9092"})
+    assert Session.readStream.told == {"format": "kafka", "subscribe": "property-events", "minPartitions": 3, "maxOffsetsPerTrigger": 65_536, "kafka.bootstrap.servers": "a:9092"}
