@@ -32,11 +32,12 @@ def backfill_demand_details(details: DataFrame, headers: DataFrame, months: list
     return out.withColumn("version", F.greatest("version", "header_version")).drop("header_version").withColumnRenamed("status", "demand_status")
 
 
-def write_backfill(rows: DataFrame, path: str) -> None:
+def write_backfill(rows: DataFrame, path: str, time_col: str = "last_modified_time") -> None:
     """Replaces the months that rows hold and leaves the others: a repeated run changes nothing.
 
-    Rows are dealt by month before, large months to several tasks, and sorted by time within files:
-    files a month do not grow with the tasks before, and row groups hold short spans of time.
+    Rows are dealt by month before, large months to several tasks, and sorted by time (if they have
+    one) within files: files a month do not grow with the tasks before, and row groups hold short
+    spans of time.
     """
-    by_month = rows.hint("rebalance", "month").sortWithinPartitions("month", "last_modified_time")
+    by_month = rows.hint("rebalance", "month").sortWithinPartitions("month", *[c for c in (time_col,) if c in rows.columns])
     by_month.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
