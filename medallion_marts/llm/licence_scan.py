@@ -10,9 +10,13 @@ A known sentence begins and ends at a sentence's or a line's border, so one that
 over lines is found as well as one on a line of its own after text without a full stop. Only
 sentences with one of the `STEMS` are looked at; no known sentence does without them.
 
+Of long licences (GPL, LGPL, MPL, EPL, Apache) the notices and the title with its version are known,
+not the sentences of their bodies; English only.
+
 Defined results: null text counts as empty and has no licence; every row gives a row, repeated
-ones too; places are in characters of the text; a licence whose version is not said has its
-name without one.
+ones and ones without id too; texts are scanned whole, however long; places are in characters of the
+text; a licence whose version is not said has its name without one; an empty table gives an empty
+result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -113,14 +117,15 @@ _NAME = "(?:" + "|".join(_bare(p) for p, _ in NAMES) + ")"
 _NAMED = f"(?P<names>{_NAME}(?:~license)?(?:~(?:or|and|and/or)~(?:the~)?{_NAME}(?:~license)?)*)"
 _THING = r"(?:software|program|library|file|package|work|code|module|project|document|material)"
 _VERB = r"(?:dual[-~])?(?:licensed|released|distributed|published|available|provided|offered|made~available|covered|redistributed|shared)"
+_MONTH = r"(?:january|february|march|april|may|june|july|august|september|october|november|december)"
 _WARRANTY = r"(?:express~or~implied|expressed~or~implied|implied~or~expressed)"
 
 #: Known sentences (id, pattern), tried in this order.
 SENTENCES: list[tuple[str, str]] = [
     ("gnu", r"(?:(?:[^ \n]+~){1,6}is~free~software~)?(?:and~)?(?:you~(?:can|may)~)?redistribute~it~and/or~modify~it~under~the~terms~of~(?:the~|version~(?P<v0>\d(?:\.\d)?)~of~the~)?gnu~(?P<kind>(?:(?:lesser|library|affero)~)?general~public~license)(?:~version~(?P<v1>\d(?:\.\d)?))?(?:~as~published~by~the~free~software~foundation)?(?:~(?:either~)?version~(?P<v2>\d(?:\.\d)?)(?:~of~the~license)?)?(?P<later>~or~(?:at~your~option~)?any~later~version)?"),
-    ("ref", rf"(?:(?:this|the|these|all|our|it|unless~otherwise~noted)~(?:[^ \n]+~){{0,6}}?(?:is|are|may~be|can~be)~)?(?:also~|hereby~)?{_VERB}~(?:to~you~)?(?:under|with|by|using|according~to|subject~to)~(?:either~of~)?(?:the~)?(?:terms~(?:and~conditions~)?of~)?(?:either~)?(?:the~|an?~)?{_NAMED}(?:~as~published~by~the~free~software~foundation)?(?:~at~your~option)?(?:~the~license)?(?:~see~(?:the~)?(?:file~)?[^ \n]+(?:~file)?(?:~for~(?:more~)?details)?)?"),
+    ("ref", rf"(?:(?:this|the|these|all|our|it|unless~otherwise~noted)~(?:[^ \n]+~){{0,6}}?(?:is|are|may~be|can~be)~)?(?:also~|hereby~)?{_VERB}~(?:to~you~)?(?:under|with|by|using|according~to|subject~to)~(?:either~of~)?(?:the~)?(?:terms~(?:and~conditions~)?of~)?(?:either~)?(?:the~|an?~)?{_NAMED}(?:~as~published~by~the~free~software~foundation)?(?:~at~your~option)?(?:~the~license)?(?:~which~(?:is~available~at|accompanies~this~distribution)(?:~[^ \n]+){{0,8}})?(?:~see~(?:the~)?(?:file~)?[^ \n]+(?:~file)?(?:~for~(?:more~)?details)?)?"),
     ("ref", rf"(?:spdx-license-identifier|licen[sc]e|license~type)~(?:is~)?(?:the~)?{_NAMED}"),
-    ("title", rf"(?:the~)?{_NAMED}"),
+    ("title", rf"(?:the~)?{_NAMED}(?:~(?:\d{{1,2}}~)?{_MONTH}~\d{{4}})?"),
     ("free", r"(?:[^ \n]+~){1,6}is~free~software"),
     ("gnu_warranty", rf"(?:this~{_THING}|[^ \n]+)~is~distributed~in~the~hope~that~it~will~be~useful~but~without~any~warranty"),
     ("gnu_implied", r"without~even~the~implied~warranty~of~merchantability~or~fitness~for~a~particular~purpose"),
@@ -151,6 +156,12 @@ SENTENCES: list[tuple[str, str]] = [
     ("zlib_liability", r"in~no~event~will~the~authors~be~held~liable~for~any~damages~arising~from~the~use~of~this~software"),
     ("zlib_grant", r"permission~is~granted~to~anyone~to~use~this~software~for~any~purpose~including~commercial~applications~and~to~alter~it~and~redistribute~it~freely(?:~subject~to~the~following~restrictions)?"),
     ("zlib_notice", r"(?:3~)?this~notice~may~not~be~removed~or~altered~from~any~source~distribution"),
+    ("mpl_subject", r"this~source~code~form~is~subject~to~the~terms~of~the~mozilla~public~license~v(?:ersion)?~2\.0"),
+    ("mpl_copy", r"if~a~copy~of~the~mpl~was~not~distributed~with~this~file~you~can~obtain~one~at~(?:https?~)?(?:www\.)?mozilla\.org/mpl/2\.0"),
+    ("boost_grant", r"permission~is~hereby~granted~free~of~charge~to~any~person~or~organization~obtaining~a~copy~of~the~software~and~accompanying~documentation~covered~by~this~license~the~software~to~use~reproduce~display~distribute~execute~and~transmit~the~software~and~to~prepare~derivative~works~of~the~software~and~to~permit~third-parties~to~whom~the~software~is~furnished~to~do~so(?:~all~subject~to~the~following)?"),
+    ("boost_notice", r"the~copyright~notices~in~the~software~and~this~entire~statement~including~the~above~license~grant~this~restriction~and~the~following~disclaimer~must~be~included~in~all~copies~of~the~software~in~whole~or~in~part~and~all~derivative~works~of~the~software~unless~such~copies~or~derivative~works~are~solely~in~the~form~of~machine-executable~object~code~generated~by~a~source~language~processor"),
+    ("boost_as_is", rf"the~software~is~provided~as~is~without~warranty~of~any~kind~{_WARRANTY}~including~but~not~limited~to~the~warranties~of~merchantability~fitness~for~a~particular~purpose~title~and~non-?infringement"),
+    ("boost_liability", r"in~no~event~shall~the~copyright~holders~or~anyone~distributing~the~software~be~liable~for~any~damages~or~other~liability~whether~in~contract~tort~or~otherwise~arising~from~out~of~or~in~connection~with~the~software~or~the~use~or~other~dealings~in~the~software"),
     ("unlicense", r"this~is~free~and~unencumbered~software~released~into~the~public~domain"),
     ("public_domain", rf"(?:(?:this|the)~{_THING}~(?:is|has~been)~)?(?:hereby~)?(?:placed|released|dedicated|put|in)~(?:in~|into~|to~)?the~public~domain"),
     ("reserved", r"(?:all|some|no)~rights~reserved"),
@@ -173,6 +184,8 @@ RULES: list[tuple[str | None, str]] = [
     ("BSD-2-Clause", f"title? bsd_head bsd_source bsd_binary {_BSD_END}"),
     ("ISC", "title? isc_grant isc_as_is isc_liability"),
     ("Zlib", "title? zlib_as_is zlib_liability zlib_grant zlib_notice?"),
+    ("BSL-1.0", "title? boost_grant boost_notice? boost_as_is boost_liability"),
+    ("MPL-2.0", "mpl_subject mpl_copy?"),
     ("Unlicense", "unlicense"),
     (None, f"gnu {_GNU_END}"),
     (None, f"ref {_APACHE_END}"),
