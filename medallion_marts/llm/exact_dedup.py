@@ -73,15 +73,18 @@ def _groups(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Dat
     return flagged, groups, seen["rows"], found["rows"]
 
 
+def _with_groups(maybe: DataFrame, groups: DataFrame, n_rows: int) -> DataFrame:
+    """maybe (with _digest) and what its group has. Large groups are few, so they are broadcast; a join by digest would put each into one task."""
+    large = F.col("group_size") >= max(LARGE_AT_LEAST, n_rows // LARGE_GROUPS)
+    at_once = maybe.join(F.broadcast(groups.where(large)), "_digest", "left")
+    rest = at_once.where("group_size IS NULL").select(*maybe.columns).join(groups.where(~large), "_digest")
+    return at_once.where("group_size IS NOT NULL").unionByName(rest)
+
+
 def find_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, keep_id, group_size, kept, text_sha256) for every row; of equal texts the largest id stays."""
     flagged, groups, n_rows, _ = _groups(docs, id_col, text_col)
-    maybe = flagged.where("_maybe").select("_id", "_digest")
-    # Large groups are few, so they are broadcast; a join by digest would put each into one task.
-    large = F.col("group_size") >= max(LARGE_AT_LEAST, n_rows // LARGE_GROUPS)
-    at_once = maybe.join(F.broadcast(groups.where(large)), "_digest", "left")
-    rest = at_once.where("group_size IS NULL").select("_id", "_digest").join(groups.where(~large), "_digest")
-    grouped = at_once.where("group_size IS NOT NULL").unionByName(rest).select("_id", "keep_id", "group_size", "_digest")
+    grouped = _with_groups(flagged.where("_maybe").select("_id", "_digest"), groups, n_rows).select("_id", "keep_id", "group_size", "_digest")
     single = flagged.where(~F.col("_maybe")).select("_id", F.col("_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "_digest")
     return single.unionByName(grouped).select(
         F.col("_id").alias(id_col),
@@ -94,14 +97,14 @@ def find_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay, with docs' own columns; unique texts are not shuffled."""
-    flagged, groups, _, n_groups = _groups(docs, id_col, text_col)
+    flagged, groups, n_rows, n_groups = _groups(docs, id_col, text_col)
     repeated = groups.where("group_size > 1")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     rows = _flag(docs.select(row, F.col(id_col).alias("_id"), _digest(text_col).alias("_digest")), *_filter(repeated, n_groups, 1))
+    candidates = flagged.where("_maybe").select("_id", "_digest")
+    grouped = candidates.join(F.broadcast(repeated), "_digest") if n_groups * 64 <= FILTER_BYTES else _with_groups(candidates, repeated, n_rows)
     # (digest, id) is spread evenly even where one digest has a third of the rows.
-    keepers = repeated.select("_digest", "keep_id")
-    few = F.broadcast(keepers) if n_groups * 64 <= FILTER_BYTES else keepers
-    losers = flagged.where("_maybe").join(few, "_digest").where(~F.col("_id").eqNullSafe(F.col("keep_id"))).select("_digest", "_id")
+    losers = grouped.where(~F.col("_id").eqNullSafe(F.col("keep_id"))).select("_digest", "_id")
     maybe = rows.where("_maybe").alias("r").join(losers.alias("k"), (F.col("r._digest") == F.col("k._digest")) & F.col("r._id").eqNullSafe(F.col("k._id")), "left_anti")
     maybe = maybe.dropDuplicates(["_digest", "_id"])
     return rows.where(~F.col("_maybe")).select("_row").unionByName(maybe.select("_row")).select("_row.*")
