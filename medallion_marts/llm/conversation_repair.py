@@ -20,8 +20,8 @@ per conversation from its end to give each block the prices beyond it, then each
 ends from where it may begin, which is chained from the beginning, and then it is traced.
 
 Defined results: nulls in roles and texts are one space; rows of a null id are one conversation; rows
-of equal turns (nulls come first) are in the order of the SHA-256 of role and text; repeated rows are
-duplicates of the first; an empty table gives an empty result; other columns are not looked at.
+of equal turns (nulls come first) are in the order of the SHA-256 of the role's length, a colon, role and
+text; repeated rows are duplicates of the first; an empty table gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -144,13 +144,9 @@ def apply(letters: str, state: int, rows: list[tuple[str, str]]) -> list[tuple[s
     return out
 
 
-def _hash(name: str) -> Column:
-    return F.sha2(F.concat_ws("\x00", F.col("role"), F.col(name)), 256)
-
-
 def _flagged(rows: DataFrame) -> DataFrame:
     """rows with `fault`, their first one."""
-    rows, seen = staged_with(rows.withColumns({"uid": F.monotonically_increasing_id(), "digest": F.unhex(_hash("text"))}), "rows")
+    rows, seen = staged_with(rows.withColumns({"uid": F.monotonically_increasing_id(), "digest": F.unhex(F.sha2(F.concat(F.length("role").cast("string"), F.lit(":"), "role", "text"), 256))}), "rows")
     here = F.struct(F.col("turn").isNotNull().alias("there"), "turn", "uid")
     groups = rows.where(~F.col("gone")).groupBy("conv", "digest").agg(F.min(here).alias("first"), F.count("*").alias("n")).where("n > 1")
     groups = staged(groups.select(F.col("conv").alias("c"), F.col("digest").alias("d"), F.col("first.uid").alias("first"), (F.col("n") >= max(LARGE_AT_LEAST, seen["rows"] // LARGE_GROUPS)).alias("large")), "repeated")

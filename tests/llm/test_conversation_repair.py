@@ -135,7 +135,7 @@ def test_long_conversations_in_blocks(spark, monkeypatch, block):
 
 
 def test_odd_rows(spark):
-    rows = [(None, 1, "user", "a."), (None, 2, None, None), (1, None, "user", "b."), (1, 5, "assistant", "c."), (2, 3, "user", None), (3, None, None, "x"), (4, -7, "", "y."), (4, 9, "système", "é…"), (5, 1, "user", "z" * 300_000 + ".")]
+    rows = [(7, 1, "a\x00b", "c."), (7, 2, "a", "b\x00c."), (None, 1, "user", "a."), (None, 2, None, None), (1, None, "user", "b."), (1, 5, "assistant", "c."), (2, 3, "user", None), (3, None, None, "x"), (4, -7, "", "y."), (4, 9, "système", "é…"), (5, 1, "user", "z" * 300_000 + ".")]
     df = spark.createDataFrame(rows, SHAPE).withColumns({"conv": F.lit("clash"), "a.b": F.lit(1), "uid": F.lit(2), "digest": F.lit("d"), "gone": F.lit(True), "fault": F.lit(9)})
     assert run(df) == expected(conversations_of(rows))
     assert run(df.limit(0)) == {}
@@ -151,6 +151,6 @@ def test_ties_and_repeats(spark, monkeypatch):
     rows = same + [(2, k, "user", "again.") for k in range(40)] + [(2, 40, "assistant", "so.")]
     out = repair.repair(spark.createDataFrame(rows, SHAPE))
     got = results(repair.summarise(out))
-    order = sorted(same, key=lambda r: hashlib.sha256(f"{r[2]}\x00{r[3]}".encode()).hexdigest())
+    order = sorted(same, key=lambda r: hashlib.sha256(f"{len(r[2])}:{r[2]}{r[3]}".encode()).hexdigest())
     assert got[1][-2] == best_edits(tuple((r[2], r[3]) for r in order))[1]
     assert got[2][2] == 39 and got[2][-2] == "K" + "D" * 39 + "K"
