@@ -548,3 +548,27 @@ def test_huffman():
     paths_ = context_mixing.huffman([5, 1, 1, 3])
     assert [len(p) for p in paths_] == [1, 3, 3, 2]
     assert len({tuple(p) for p in paths_}) == 4
+
+
+def test_pipeline_with_odd_tables(odd, none, small):
+    """Every stage, one after another: nulls, empty and repeated rows, columns of any names, and no rows at all."""
+    import corpus_pipeline
+
+    spark = odd.sparkSession
+    for docs, least in ((odd.withColumns({"a.b": F.lit(1), "_row": F.lit(2), "_digest": F.lit("x")}), 4), (none, 0), (odd.where("text IS NULL"), 0)):
+        columns = docs.columns
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, small)
+            assert docs.columns == columns, name
+            docs = spark.createDataFrame(docs.collect(), docs.schema)
+        assert docs.count() >= least and not docs.where("text IS NULL").count()
+        pieces = corpus_pipeline.STAGES[-1][1](spark, docs, small)
+        assert pieces.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+
+
+def test_language_ties_go_to_one_language(docs_of):
+    """Two languages learned from the same texts have equal code lengths: the least name is told, with half of the certainty."""
+    rows = [(k, prose(k, 60)) for k in range(40)]
+    docs = docs_of(rows, "bb").unionByName(docs_of([(100 + k, t) for k, t in rows], "aa"))
+    got = language_id.predict(docs, language_id.learn(docs)).collect()
+    assert {r.lang_pred for r in got} == {"aa"} and all(r.score == pytest.approx(0.5) for r in got)
