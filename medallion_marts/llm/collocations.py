@@ -40,7 +40,7 @@ LEAST, TOP, SWALLOWED = 10, 2000, 50
 #: A bitmap's size at most, and its positions for each phrase.
 FILTER_BYTES, POSITIONS = 32 << 20, 16
 #: Bytes of text worked on at once; phrases that a task collects before it counts them and sends them on.
-SLICE, PENDING = 1 << 20, 2_400_000
+SLICE, PENDING = 1 << 20, 1_500_000
 #: Languages times shards that are broadcast with their local support; with more, the local support is 1.
 MAX_SHARES = 200_000
 #: Fixed characters of the definition: those that end a piece, and the blanks between words.
@@ -161,10 +161,10 @@ def _mined(docs: DataFrame, pairs, shards: int, size: int) -> DataFrame:
 
         def out() -> pa.RecordBatch:
             found, first, counts = np.unique(np.concatenate(keys), return_index=True, return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(np.concatenate(needs)[first], pa.int64()), pa.array(counts, pa.int64())], ["key", "need", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(np.concatenate(needs)[first].astype(np.int64)), pa.array(counts, pa.int64())], ["key", "need", "n"])
 
         for batch in batches:
-            lang, shard, need = _codes(batch.column(1)), np.asarray(batch.column(2)), np.asarray(batch.column(3))
+            lang, shard, need = _codes(batch.column(1)), np.asarray(batch.column(2)), np.asarray(batch.column(3)).astype(np.int32)
             for words in slices(batch.column(0), size):
                 two, three = _keys(words, lang, shard)
                 if bitmap is None:
