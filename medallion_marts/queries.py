@@ -17,7 +17,7 @@ from .operators.latest import latest_state as latest
 from .plans import backfill, dimensions, marts, refresh, silver, views
 from .sources import sample_tables as sample
 from .sources.events import quarantine, read_events, split_payload
-from .sources.tables import TableCatalog
+from .sources.tables import TableCatalog, buckets_for
 from .streaming.ingest import ingest, raw_window
 
 #: The sample tables' fiscal years are those of the nineties.
@@ -83,11 +83,12 @@ def dimensions_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _stored(spark: SparkSession) -> TableCatalog:
-    """A database in the shared folder, whose files go when Spark's JVM ends."""
+def _stored(spark: SparkSession, sf_dir: str) -> TableCatalog:
+    """A database in the shared folder, whose files go when Spark's JVM ends; its buckets grow with the largest tables."""
+    rows = max(sample.table(spark, sf_dir, name).count() for name in ("lineitem", "orders", "customer", "events"))
     name = f"tables_{uuid.uuid4().hex}"
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{_shared_dir(spark)}/{name}")
-    cat = TableCatalog(spark, name, path.toString())
+    cat = TableCatalog(spark, name, path.toString(), buckets_for(rows))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     return cat
 
@@ -118,7 +119,7 @@ def _load_all(cat: TableCatalog, sf_dir: str, names) -> TableCatalog:
 
 def refreshed_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments are stored, their monthly mart is refreshed twice, and the cumulative view reads the stored mart."""
-    cat = _load_all(_stored(spark), sf_dir, ["payment"])
+    cat = _load_all(_stored(spark, sf_dir), sf_dir, ["payment"])
     for _ in range(2):
         refresh.refresh_all(cat, ["collections_by_month"])
     return views.cumulative_collections_by_month(cat)
@@ -148,7 +149,7 @@ MEASURED = {
 def refreshed_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All entities are stored and all sixteen marts refreshed from their newest states; rows, those stamped since the start, and a sum of each stored mart."""
     day = spark.range(1).select(F.current_date()).first()[0]
-    cat = _load_all(_stored(spark), sf_dir, sample.ENTITIES)
+    cat = _load_all(_stored(spark, sf_dir), sf_dir, sample.ENTITIES)
     refresh.refresh_all(cat)
     sums = lambda c: (F.count("*").alias("rows"), F.count_if(F.col("data_refresh_date") >= F.lit(day)).alias("stamped"), F.sum(F.col(c).cast("decimal(28,4)")).cast("decimal(38,4)").alias("total"))
     parts = [cat.mart(name).agg(*sums(c)).select(F.lit(name).alias("mart"), "rows", "stamped", "total") for name, c in MEASURED.items()]
@@ -157,7 +158,7 @@ def refreshed_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def loaded_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of stored entities after a load and a compaction, and of a mart."""
-    cat = _load_all(_stored(spark), sf_dir, ["property_address", "property_owner", "bill"])
+    cat = _load_all(_stored(spark, sf_dir), sf_dir, ["property_address", "property_owner", "bill"])
     cat.compact("property_address")
     refresh.refresh_all(cat, ["new_properties_by_fy"])
     return cat.counts_report(["property_address", "property_owner", "bill", "new_properties_by_fy"])
@@ -178,7 +179,7 @@ def raw_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def marts_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL over two stored marts and a stored view, by their names."""
-    cat = _load_all(_stored(spark), sf_dir, ["demand", "assessment", "payment", "bill", "property_address"])
+    cat = _load_all(_stored(spark, sf_dir), sf_dir, ["demand", "assessment", "payment", "bill", "property_address"])
     refresh.refresh_all(cat, ["demand_and_collection_summary", "properties_with_demand_by_fy", "property_demand_vs_assessed_by_fy", "collections_by_month", "payment_summary_by_fy"])
     refresh.create_views(cat, MIN_FY_START)
     return spark.sql(f"""
@@ -199,7 +200,7 @@ def _night(changed: Column) -> Column:
 
 def repeated_nights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three nights of property events, versions out of order, one of them run again; then the changes between audit snapshots."""
-    cat = _stored(spark)
+    cat = _stored(spark, sf_dir)
     changed = millis(F.get_json_object("raw", "$.property.auditDetails.lastModifiedTime").cast("bigint"))
     raw = _once(sample.property_events(spark, sf_dir).withColumn("night", _night(changed)), "raw")
     for k in NIGHTS_RUN:
@@ -210,7 +211,7 @@ def repeated_nights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def compacted_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versions of demands are appended in two loads, the newer first, then compacted: one row for each demand is stored."""
-    cat, rows = _stored(spark), _once(_versions(spark, sf_dir, "demand"), "demand")
+    cat, rows = _stored(spark, sf_dir), _once(_versions(spark, sf_dir, "demand"), "demand")
     for late in (True, False):
         cat.upsert("demand", rows.where((F.month("last_modified_time") > 6) == late))
     cat.compact("demand")

@@ -309,3 +309,17 @@ def test_backfill_files_are_few_and_sorted(spark, small, tmp_path):
             assert times == sorted(times)
     day = spark.read.parquet(path).where("month = '199606' AND last_modified_time < '1996-06-03'")
     assert "PushedFilters: [IsNotNull(last_modified_time), LessThan(last_modified_time" in day._jdf.queryExecution().executedPlan().toString()
+
+
+def test_buckets_grow_with_the_tables(spark, small, monkeypatch):
+    """A bucket, which one task sorts and writes, holds no more rows when tables are larger."""
+    from medallion_marts import queries
+
+    assert [tables.buckets_for(n) for n in (0, 600_000, 36_000_000, 216_000_000)] == [8, 8, 36, 216]
+    monkeypatch.setattr(tables, "ROWS_A_BUCKET", 500)
+    stored = queries._stored(spark, small)
+    lines = spark.read.parquet(f"{small}/lineitem.parquet").count()
+    assert stored.buckets == -(-lines // 500) > 8
+    queries._load_all(stored, small, ["demand"])
+    most = stored.latest("demand").groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert most <= 500
