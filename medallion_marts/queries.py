@@ -243,10 +243,15 @@ def _shared_dir(spark: SparkSession) -> str:
     return found or tempfile.mkdtemp(prefix="spark-shared-")
 
 
+#: Events in a file of the topic that `raw_ingest_counts` ingests.
+TOPIC_ROWS = 250_000
+
+
 def raw_ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Demand events go through files and the streaming ingest; then they are counted by month of modification."""
     root = f"{_shared_dir(spark)}/ingest-{uuid.uuid4().hex}"
-    sample.demand_events(spark, sf_dir).write.text(f"{root}/topic")
+    # Compressed texts are not split, so files are kept short.
+    sample.demand_events(spark, sf_dir).write.option("compression", "gzip").option("maxRecordsPerFile", TOPIC_ROWS).text(f"{root}/topic")
     stream = read_events(spark, f"{root}/topic", "text")
     ingest(stream, f"{root}/raw", f"{root}/checkpoint").awaitTermination()
     raw = spark.read.schema("event_time timestamp, raw string, event_month string").parquet(f"{root}/raw")

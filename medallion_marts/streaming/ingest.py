@@ -11,6 +11,10 @@ from ..functions.fiscal import midnight, month_number
 from ..sources.events import BLOCK_ROWS, MAX_BROKEN, is_object, split_payload
 
 
+#: Raw events are long and alike texts, stored once and read seldom.
+CODEC = "zstd"
+
+
 def stamped(df: DataFrame, zone: str | None = None) -> DataFrame:
     """Raw rows with their time of arrival and its month."""
     return df.withColumn("event_time", F.current_timestamp()).withColumn("event_month", month_number(F.col("event_time"), zone)).select("event_time", "raw", "event_month")
@@ -26,7 +30,7 @@ def ingest(stream: DataFrame, path: str, checkpoint: str, quarantine_path: str |
     rows = split_payload(stream)
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
     if quarantine_path is None:
-        return stamped(rows, zone).writeStream.format("parquet").partitionBy("event_month").option("checkpointLocation", checkpoint).outputMode("append").trigger(**trigger).start(path)
+        return stamped(rows, zone).writeStream.format("parquet").option("compression", CODEC).partitionBy("event_month").option("checkpointLocation", checkpoint).outputMode("append").trigger(**trigger).start(path)
 
     def write(batch: DataFrame, number: int) -> None:
         # The id's upper bits are the task, the lower 33 the row in it.
@@ -36,7 +40,7 @@ def ingest(stream: DataFrame, path: str, checkpoint: str, quarantine_path: str |
             most = rows.where(~F.col("_fine")).groupBy("_block").count().agg(F.max("count")).first()[0] or 0
             if most > max_broken:
                 raise ValueError(f"batch {number} has {most} broken messages in a block; {max_broken} are allowed")
-            stamped(rows.where("_fine"), zone).write.mode("overwrite").partitionBy("event_month").parquet(f"{path}/batch_id={number}")
+            stamped(rows.where("_fine"), zone).write.mode("overwrite").option("compression", CODEC).partitionBy("event_month").parquet(f"{path}/batch_id={number}")
             if most:
                 stamped(rows.where(~F.col("_fine")), zone).write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={number}")
         finally:
