@@ -221,7 +221,8 @@ def compacted_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
 def backfill_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The backfill is written by months, some of them twice, and read back."""
     path = f"{_shared_dir(spark)}/backfill-{uuid.uuid4().hex}"
-    rows = backfill.backfill_demand_details(sample.backfill_details(spark, sf_dir), sample.backfill_headers(spark, sf_dir))
+    # Worked out once for both runs.
+    rows = _once(backfill.backfill_demand_details(sample.backfill_details(spark, sf_dir), sample.backfill_headers(spark, sf_dir)), "details")
     backfill.write_backfill(rows, path)
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)

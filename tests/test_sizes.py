@@ -36,3 +36,12 @@ def test_large_tables_are_not_spread_once_more(spark, small, monkeypatch):
     rows = sorted(r.raw for r in sample.demand_events(spark, small).collect())
     monkeypatch.setattr(sample, "ONE_GROUP", 0)
     assert exchanges() == 0 and sorted(r.raw for r in sample.demand_events(spark, small).collect()) == rows
+
+
+def test_backfill_is_worked_out_once(spark, small, tmp_path, monkeypatch):
+    """Both runs write what is stored already, so neither joins details with headers again."""
+    written = []
+    write = queries.backfill.write_backfill
+    monkeypatch.setattr(queries.backfill, "write_backfill", lambda rows, path: written.append(rows._jdf.queryExecution().optimizedPlan().toString()) or write(rows, path))
+    assert queries.backfill_written(spark, small).count() > 0
+    assert len(written) == 2 and not any("Join" in plan or "Window" in plan for plan in written)
