@@ -45,3 +45,16 @@ def test_backfill_is_worked_out_once(spark, small, tmp_path, monkeypatch):
     monkeypatch.setattr(queries.backfill, "write_backfill", lambda rows, path: written.append(rows._jdf.queryExecution().optimizedPlan().toString()) or write(rows, path))
     assert queries.backfill_written(spark, small).count() > 0
     assert len(written) == 2 and not any("Join" in plan or "Window" in plan for plan in written)
+
+
+def test_a_first_load_is_not_looked_through(spark, small, monkeypatch):
+    """There is no stored state that its slices could touch; an empty first load and later ones still work."""
+    cat, looked = queries._stored(spark, small), []
+    touched = cat._touched
+    monkeypatch.setattr(cat, "_touched", lambda rows: looked.append(1) or touched(rows))
+    rows = sample.bill(spark, small)
+    cat.upsert("bill", rows.limit(0), "0")
+    cat.upsert("bill", rows, "1")
+    assert not looked and cat.latest("bill").count() == rows.select("tenant_id", "bill_id").distinct().count()
+    cat.upsert("bill", rows.limit(5), "2")
+    assert looked and cat.latest("bill").count() == rows.select("tenant_id", "bill_id").distinct().count()
