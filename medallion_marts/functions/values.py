@@ -37,27 +37,30 @@ def millis(epoch: Column) -> Column:
 AMOUNT = "decimal(18,4)"
 
 
-def amounts(details: Column, names: tuple[str, ...]) -> Column:
-    """(head, and a decimal for each of names, given as text) of each detail; what is no number is 0."""
-    zero = F.lit(0).cast(AMOUNT)
-    one = lambda d: F.struct(F.coalesce(d["taxHeadMasterCode"], F.lit("")).alias("head"), *[F.coalesce(d[n].try_cast(AMOUNT), zero).alias(n) for n in names])
-    return F.coalesce(F.transform(details, one), F.array().cast(f"array<struct<head:string,{','.join(f'{n}:{AMOUNT}' for n in names)}>>"))
+def _head(detail: Column) -> Column:
+    return F.coalesce(detail["taxHeadMasterCode"], F.lit(""))
+
 
+def heads_of(details: Column) -> Column:
+    """The different heads of an event's details; a missing one is empty."""
+    return F.coalesce(F.array_distinct(F.transform(details, _head)), F.array().cast("array<string>"))
 
-def _sum(rows: Column, name: str) -> Column:
-    return F.aggregate(rows, F.lit(0).cast(AMOUNT), lambda total, d: (total + d[name]).cast(AMOUNT))
 
+def head_sums(details: Column, heads: Column, name: str) -> Column:
+    """A map from each head to its sum of amounts, given as text, within the row: no explode, no shuffle. What is no number is 0.
 
-def head_sums(rows: Column, names: tuple[str, ...]) -> Column:
-    """Of `amounts`: a map from each head that occurs to its sums, within the row: no explode, no shuffle."""
-    of = lambda h: F.struct(h.alias("key"), F.struct(*[_sum(F.filter(rows, lambda d: d["head"] == h), n).alias(n) for n in names]).alias("value"))
-    return F.map_from_entries(F.transform(F.array_distinct(F.transform(rows, lambda d: d["head"])), of))
+    Spark interprets functions over arrays, where making a struct costs more than a sum, so none is made.
+    """
+    zero = F.lit(0).cast(AMOUNT)
+    plus = lambda total, d: (total + F.coalesce(d[name].try_cast(AMOUNT), zero)).cast(AMOUNT)
+    of = lambda h: F.aggregate(details, zero, lambda total, d: F.when(_head(d) == h, plus(total, d)).otherwise(total))
+    return F.map_from_arrays(heads, F.transform(heads, of))
 
 
-def total_of(sums: Column, name: str) -> Column:
-    return _sum(F.map_values(sums), name)
+def total_of(sums: Column) -> Column:
+    return F.aggregate(F.map_values(sums), F.lit(0).cast(AMOUNT), lambda total, d: (total + d).cast(AMOUNT))
 
 
-def pivot_heads(sums: Column, heads: tuple[str, ...], name: str, suffix: str = "") -> list[Column]:
+def pivot_heads(sums: Column, heads: tuple[str, ...], suffix: str = "") -> list[Column]:
     """One column for each head from `head_sums`."""
-    return [F.coalesce(sums[head][name], F.lit(0).cast(AMOUNT)).alias(head.lower() + suffix) for head in heads]
+    return [F.coalesce(sums[head], F.lit(0).cast(AMOUNT)).alias(head.lower() + suffix) for head in heads]

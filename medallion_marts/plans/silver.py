@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.fiscal import fiscal_year, midnight
-from ..functions.values import amounts, head_sums, millis, pivot_heads, total_of
+from ..functions.values import head_sums, heads_of, millis, pivot_heads, total_of
 from ..operators.latest import conform, latest_state
 from ..operators.windows import change_flags
 
@@ -125,11 +125,12 @@ def to_property_owner(raw: DataFrame) -> DataFrame:
 
 def to_demand(raw: DataFrame) -> DataFrame:
     """One row per demand event: totals over all tax heads, a column for each known one."""
-    names = ("taxAmount", "collectionAmount")
-    # The sums are a column of their own, so that each is worked out once for all the columns below.
-    df = parsed(raw, schemas.DEMAND_EVENT).withColumn("_amounts", amounts(F.col("demand.demandDetails"), names))
-    df = df.withColumn("_heads", head_sums(F.col("_amounts"), names)).withColumns({"_tax": total_of(F.col("_heads"), names[0]), "_collected": total_of(F.col("_heads"), names[1])})
-    sums, tax, collected = F.col("_heads"), F.col("_tax"), F.col("_collected")
+    # The sums are columns of their own, so that each is worked out once for all the columns below.
+    details = F.col("demand.demandDetails")
+    df = parsed(raw, schemas.DEMAND_EVENT).withColumn("_heads", heads_of(details))
+    df = df.withColumns({"_taxes": head_sums(details, F.col("_heads"), "taxAmount"), "_collections": head_sums(details, F.col("_heads"), "collectionAmount")})
+    df = df.withColumns({"_tax": total_of(F.col("_taxes")), "_collected": total_of(F.col("_collections"))})
+    tax, collected = F.col("_tax"), F.col("_collected")
     columns = {
         "tenant_id": "tenantId",
         "demand_id": "demand.id",
@@ -147,7 +148,7 @@ def to_demand(raw: DataFrame) -> DataFrame:
         "outstanding_amount": tax - collected,
         "is_paid": F.col("demand.isPaymentCompleted").cast("int"),
     }
-    heads = [*pivot_heads(sums, schemas.TAX_HEADS, names[0]), *pivot_heads(sums, schemas.TAX_HEADS, names[1], "_collection")]
+    heads = [*pivot_heads(F.col("_taxes"), schemas.TAX_HEADS), *pivot_heads(F.col("_collections"), schemas.TAX_HEADS, "_collection")]
     return _entity(_named(df, columns, *heads, *_audit("demand")), "demand")
 
 

@@ -58,3 +58,15 @@ def test_a_first_load_is_not_looked_through(spark, small, monkeypatch):
     assert not looked and cat.latest("bill").count() == rows.select("tenant_id", "bill_id").distinct().count()
     cat.upsert("bill", rows.limit(5), "2")
     assert looked and cat.latest("bill").count() == rows.select("tenant_id", "bill_id").distinct().count()
+
+
+def test_pivot_makes_no_struct_for_each_detail(spark, small):
+    """Structs cost more than the sums; missing details, heads and amounts that are no numbers still count as before."""
+    plan = queries.silver_demand_pivot(spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    lambdas = [line for line in plan.splitlines() if "_taxes" in line and "lambdafunction" in line]
+    assert lambdas and not any("lambdafunction(struct" in line or "filter(" in line for line in lambdas)
+    detail = lambda head, tax, paid: f'{{"taxHeadMasterCode":{head},"taxAmount":{tax},"collectionAmount":{paid}}}'
+    details = ["null", "[]", "[null," + detail('"PT_TAX"', '"1.5"', '"x"') + "," + detail("null", '"2"', "null") + "," + detail('"PT_TAX"', '"3"', '"4"') + "]"]
+    raw = spark.createDataFrame([(f'{{"tenantId":"t","demand":{{"id":"{k}","demandDetails":{d}}}}}',) for k, d in enumerate(details)], "raw string")
+    got = {r.demand_id: tuple(map(float, (r.total_tax_amount, r.total_collection_amount, r.pt_tax, r.pt_tax_collection, r.pt_fire_cess))) for r in queries.silver.to_demand(raw).collect()}
+    assert got == {"0": (0, 0, 0, 0, 0), "1": (0, 0, 0, 0, 0), "2": (6.5, 4, 4.5, 4, 0)}
