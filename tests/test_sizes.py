@@ -1,11 +1,14 @@
 """What keeps time, memory and bytes in proportion to the tables."""
 
 import glob
+import time
 
 import pyarrow.parquet as pq
 
 from medallion_marts import queries
+from medallion_marts.plans import refresh
 from medallion_marts.sources import sample_tables as sample
+from medallion_marts.sources import tables
 from medallion_marts.sources.events import read_events
 from medallion_marts.streaming.ingest import ingest
 
@@ -70,3 +73,49 @@ def test_pivot_makes_no_struct_for_each_detail(spark, small):
     raw = spark.createDataFrame([(f'{{"tenantId":"t","demand":{{"id":"{k}","demandDetails":{d}}}}}',) for k, d in enumerate(details)], "raw string")
     got = {r.demand_id: tuple(map(float, (r.total_tax_amount, r.total_collection_amount, r.pt_tax, r.pt_tax_collection, r.pt_fire_cess))) for r in queries.silver.to_demand(raw).collect()}
     assert got == {"0": (0, 0, 0, 0, 0), "1": (0, 0, 0, 0, 0), "2": (6.5, 4, 4.5, 4, 0)}
+
+
+def shuffle_files(spark):
+    return set(glob.glob(f"{spark.conf.get('spark.local.dir')}/**/shuffle_*.data", recursive=True))
+
+
+def test_writes_leave_no_shuffle_files(spark, small, monkeypatch):
+    """What a load and a refresh have shuffled goes with them, not when the driver's heap is collected; sessions keep their setting."""
+    cat, before, setting = queries._stored(spark, small), shuffle_files(spark), spark.conf.get(tables.CLEANUP)
+    peak, write = set(), cat._write_newest
+    monkeypatch.setattr(cat, "_write_newest", lambda *a: (write(*a), peak.update(shuffle_files(spark) - before)))
+    queries._load_all(cat, small, ["bill", "payment", "property_address"])
+    refresh.refresh_all(cat, ["payment_summary_by_fy", "new_properties_by_fy"])
+    assert cat.mart("payment_summary_by_fy").count() > 0 and spark.conf.get(tables.CLEANUP) == setting and not tables._writes
+    for _ in range(50):  # Spark deletes them in the background
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.2)
+    assert not [f for f in left if f in peak] and len(left) <= 4  # those of reads by this test
+
+
+def test_stored_tables_are_compressed(spark, small):
+    cat = queries._load_all(queries._stored(spark, small), small, ["bill", "property_audit"])
+    refresh.refresh_all(cat, ["property_change_metrics"])
+    folder = spark.sql(f"DESCRIBE DATABASE {cat.database}").where("info_name = 'Location'").first()[1].removeprefix("file:")
+    files = glob.glob(f"{folder}/**/*.parquet", recursive=True)
+    assert {"bill", "bill_versions", "mart_property_change_metrics"} <= {f.removeprefix(folder).split("/")[1].split("__")[0] for f in files}
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files if pq.ParquetFile(f).metadata.num_rows} == {"ZSTD"}
+
+
+def test_large_entities_are_loaded_one_by_one(spark, small, monkeypatch):
+    """So that the shuffle files of one load at a time are on disk; small ones still go together."""
+    cat, under_way, most = queries._stored(spark, small), [], []
+
+    def upsert(name, rows):
+        under_way.append(name)
+        most.append(len(under_way))
+        time.sleep(1)
+        under_way.remove(name)
+
+    monkeypatch.setattr(cat, "upsert", upsert)
+    for bound, expected in ((0, {1}), (10**9, {1, 2, 3})):
+        monkeypatch.setattr(queries, "ONE_AT_A_TIME", bound)
+        most.clear()
+        queries._load_all(cat, small, ["bill", "payment", "assessment"])
+        assert set(most) <= expected and max(most) == max(expected)
