@@ -2,6 +2,7 @@
 
 import math
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -234,3 +235,42 @@ def test_counts_of_any_size_are_exact(monkeypatch):
         tally.add(rng.permutation(keys))
     keys, n = tally.take()
     assert dict(zip(keys.tolist(), n.tolist())) == expected and (np.diff(keys.astype(np.int64)) > 0).all() and not tally.size()
+
+
+def test_weights_come_from_every_document(spark, docs_of):
+    """Sets of weights are learned, from all documents, each judged by the counts of the half that it is not in."""
+    rows = [(k, prose(k % 70) + " " + str(k % 70) * 20) for k in range(80)] + [(900, None), (901, "")]
+    model = context_mixing.learn(docs_of(rows).repartition(3))[0]
+    first = np.ascontiguousarray(context_mixing.first_weights().T)
+    assert model.one_set() is None and np.abs(model.weights - first).max() > 0.1
+    halves = [[context_mixing.lowered(t) for _, t in rows if zlib.crc32((t or "").encode()) % 2 == half] for half in (0, 1)]
+    sizes, sums = tuple(len(t).bit_length() - 1 for t in model.odds), context_mixing.WeightSums()
+    for mine, others in (halves, halves[::-1]):
+        counts = context_mixing.Counts(model.coding, sizes)
+        counts.add(others)
+        blocks = {b: context_mixing.odds_of(context_mixing.added([row])) for b, *row in counts.rows()}
+        sums.add(mine, context_mixing.Model(model.coding, context_mixing.filled(blocks, sizes), None, None))
+    made = sum(int(model.coding.length[model.coding.codes(context_mixing.lay_out([(t, True)]))[1][6:]].sum()) for half in halves for t in half)
+    assert sums.seen == made and model.power == pytest.approx(sums.power(), abs=2e-4)
+    fresh = [prose(1000 + k).encode() for k in range(20)]
+    bits = lambda w: context_mixing.all_bits(fresh, context_mixing.Model(model.coding, model.odds, np.ascontiguousarray(w, np.float32), model.power)).sum()
+    # Forms are taken at weights on the way, so those of one task and of three differ somewhat, but not in what they are worth.
+    assert bits(model.weights) < bits(first) and bits(model.weights) == pytest.approx(bits(sums.weights().T), rel=0.02)
+
+
+def test_sums_of_weights_are_added():
+    """Where every sum is taken at the same weights, those of two tasks together are those of one; without documents the first weights stay."""
+    texts = [prose(k).encode() for k in range(10)]
+    model = model_of(texts[:5])
+    model.weights = None
+    parts = []
+    for some in (texts[:4], texts[4:]):
+        parts.append(context_mixing.WeightSums())
+        parts[-1].add(some, model)
+    both = context_mixing.WeightSums()
+    for part in parts:
+        both.unpack(part.packed())
+    assert both.seen == parts[0].seen + parts[1].seen and np.array_equal(both.curve, parts[0].curve + parts[1].curve)
+    assert np.allclose(context_mixing.WeightSums().weights(), context_mixing.first_weights())
+    x = context_mixing.inputs(context_mixing.lay_out([(texts[0], True)]), model).x.astype(float)
+    assert np.allclose(sum(context_mixing.WeightSums().unpack(p.packed()).squares for p in parts), both.squares) and (x**2).sum() < both.squares.sum()
